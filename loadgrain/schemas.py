@@ -1,0 +1,9 @@
+"""Spark DDL of the tables the operators exchange."""
+
+READINGS = "user_id bigint, terminal_id string, ts timestamp_ntz, power double"
+BATCHES = READINGS + ", batch_id string, source_file string"
+INTERVALS = "key bigint, interval_id bigint, start timestamp_ntz, end timestamp_ntz"
+EVENTS = "user_id bigint, ts timestamp_ntz, p_before double, p_after double, step double"
+SIGNATURES = "label string, direction string, mean_step double, std_step double, n bigint"
+WINDOWS = "user_id bigint, window_no bigint, start_ts timestamp_ntz, values array<double>"
+PREDICTIONS = "model string, user_id bigint, ts timestamp_ntz, actual double, predicted double"
