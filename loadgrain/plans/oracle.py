@@ -117,7 +117,7 @@ def _resample(value: str) -> str:
 def _windows(keys: str, starts: str, size: str, extra: str = "") -> str:
     return f"""WITH {READINGS}, x AS (SELECT *, {starts} AS window_start FROM r)
         SELECT {keys} window_start, window_start + INTERVAL {size} AS window_end, count(*) AS n,
-               round(sum(power), 6) AS sum, round(avg(power), 6) AS mean, min(power) AS min, max(power) AS max
+               round(sum(power), 6) AS sum, round(round(sum(power), 6) / count(*), 6) AS mean, min(power) AS min, max(power) AS max
         FROM x GROUP BY {keys} window_start {extra}"""
 
 
@@ -133,9 +133,9 @@ HOUR = "time_bucket(INTERVAL 1 HOUR, ts, TIMESTAMP '1970-01-01')"
 QUARTER = "time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '1970-01-01')"
 
 ORACLE: dict[str, str] = {
-    "csv_batches": """SELECT event_type AS kind, strftime(ts, '%Y%m%d') AS day, event_id, user_id, ts, value AS power
+    "csv_batches": """SELECT event_type AS kind, strftime(date_trunc('week', ts), '%Y%m%d') AS week, event_id, user_id, ts, value AS power
         FROM events WHERE event_type <> 'error'""",
-    "csv_rejected": """SELECT event_type AS kind, strftime(ts, '%Y%m%d') AS day, 'value' AS reason, count(*) AS n
+    "csv_rejected": """SELECT event_type AS kind, strftime(date_trunc('week', ts), '%Y%m%d') AS week, 'value' AS reason, count(*) AS n
         FROM events WHERE event_type = 'error' GROUP BY ALL""",
     "merge_batches": f"""WITH {BATCHES}
         SELECT user_id, ts, power, event_id, event_type, batch_id, source_file FROM ranked WHERE k = 1""",
@@ -159,7 +159,7 @@ ORACLE: dict[str, str] = {
                       OVER (PARTITION BY key ORDER BY "start", interval_id) AS island
             FROM m)
         SELECT key, min("start") AS island_start, max("end") AS island_end, count(*) AS n_intervals,
-               arg_min(reached, ("start", interval_id)) AS gap_start
+               min(CASE WHEN "start" > reached THEN reached END) AS gap_start
         FROM f GROUP BY key, island""",
     "stored_readings": "SELECT user_id, event_id, ts, value AS power, CAST(ts AS DATE) AS day FROM events",
     "resample_forward": _resample(
@@ -171,11 +171,11 @@ ORACLE: dict[str, str] = {
     "rollup_granularity": f"""WITH {READINGS}
         SELECT CASE grouping(user_id, terminal_id) WHEN 0 THEN 'terminal_id' WHEN 1 THEN 'user_id' ELSE 'total' END
                    AS level,
-               user_id, terminal_id, round(sum(power), 6) AS sum, round(avg(power), 6) AS mean, count(*) AS n
+               user_id, terminal_id, round(sum(power), 6) AS sum, round(round(sum(power), 6) / count(*), 6) AS mean, count(*) AS n
         FROM r GROUP BY ROLLUP (user_id, terminal_id)""",
     "row_windows": f"""WITH {ROW_WINDOWS}
         SELECT user_id, window_no, start_ts,
-               array_to_string(list_transform("values", v -> CAST(round(v * 100) AS BIGINT)::VARCHAR), ',')
+               array_to_string([CAST(round(v * 100) AS BIGINT)::VARCHAR FOR v IN "values"], ',')
                    AS values_cents
         FROM w""",
     "time_windows_hourly": _windows("user_id,", HOUR, "1 HOUR"),

@@ -102,7 +102,12 @@ def resample_query(fill: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def rollup_granularity(spark: SparkSession, sf_dir: str) -> DataFrame:
     levels = series.rollup_granularity(fx.readings(spark, sf_dir), ["user_id", "terminal_id"])
-    return rounded(levels, "sum", "mean")
+    return _mean_of_rounded_sum(levels)
+
+
+def _mean_of_rounded_sum(df: DataFrame) -> DataFrame:
+    """Means of the rounded sums: a sum's last digits depend on the order of adding."""
+    return rounded(df, "sum").withColumn("mean", r6(F.col("sum") / F.col("n")))
 
 
 def row_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,11 +117,11 @@ def row_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_windows_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(windows.time_windows(fx.readings(spark, sf_dir), USER, "1 hour"), "sum", "mean")
+    return _mean_of_rounded_sum(windows.time_windows(fx.readings(spark, sf_dir), USER, "1 hour"))
 
 
 def time_windows_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(windows.time_windows(fx.readings(spark, sf_dir), [], "1 day", "6 hours"), "sum", "mean")
+    return _mean_of_rounded_sum(windows.time_windows(fx.readings(spark, sf_dir), [], "1 day", "6 hours"))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +169,7 @@ CSV_SCHEMA = T.StructType(
 
 
 def _csv_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Readings written as CSV batches per kind and day, in two column orders, then read back.
+    """Readings written as CSV batches per kind and week, in two column orders, then read back.
 
     Readings of kind ``error`` get a power that is no number.
     """
@@ -174,7 +179,7 @@ def _csv_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         "user_id",
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
         F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("power").cast("string")).alias("power"),
-        F.concat_ws("_", "event_type", F.date_format("ts", "yyyyMMdd")).alias("batch"),
+        F.concat_ws("_", "event_type", F.date_format(F.date_trunc("week", "ts"), "yyyyMMdd")).alias("batch"),
     )
     orders = (["event_id", "user_id", "ts", "power"], ["power", "ts", "event_id", "user_id"])
     for i, order in enumerate(orders):
@@ -185,7 +190,7 @@ def _csv_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
         [f"{folder}/layout{i}" for i in range(len(orders))],
         CSV_SCHEMA,
         r"batch=([a-z]+)_(\d{8})/",
-        ["kind", "day"],
+        ["kind", "week"],
     )
 
 
@@ -195,7 +200,7 @@ def csv_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = _csv_batches(spark, sf_dir)[1]
-    return rejected.groupBy("kind", "day", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return rejected.groupBy("kind", "week", "reason").agg(F.count(F.lit(1)).alias("n"))
 
 
 def stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,6 +53,8 @@ def stream_events(
         if n < len(at):
             state.setTimeoutTimestamp(max(int(at[n]) // 1000, watermark + 1))
         hit = np.abs(x[:n] - before) >= threshold
+        if not hit.any():
+            return
         found = {name: [value] * int(hit.sum()) for name, value in zip(keys, key, strict=True)}
         yield pd.DataFrame({**found, "ts_us": at[:n][hit], "p_before": before[hit], "p_after": x[:n][hit]})
 
