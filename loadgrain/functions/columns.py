@@ -28,6 +28,19 @@ def epoch_seconds(df: DataFrame, ts: str) -> Column:
     return F.unix_seconds(F.col(ts))
 
 
+def epoch_micros(df: DataFrame, ts: str) -> Column:
+    """Microseconds since 1970 as bigint, for TIMESTAMP and TIMESTAMP_NTZ alike."""
+    if isinstance(df.schema[ts].dataType, T.TimestampNTZType):
+        return (elapsed(F.expr(EPOCH), F.col(ts)) * 1_000_000).cast("bigint")
+    return F.unix_micros(F.col(ts))
+
+
+def floor_div(number: Column, width: Column | int) -> Column:
+    """Whole number of ``width`` below an integer, exact for negative ones too."""
+    width = F.lit(width) if isinstance(width, int) else width
+    return ((number - F.pmod(number, width)) / width).cast("bigint")
+
+
 def as_instant(ts: str) -> Column:
     """TIMESTAMP of a TIMESTAMP_NTZ read as UTC, whatever the session time zone."""
     return F.timestamp_micros((elapsed(F.expr(EPOCH), F.col(ts)) * 1_000_000).cast("bigint"))

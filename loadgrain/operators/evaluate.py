@@ -88,15 +88,18 @@ def robust_metrics(
     )
 
 
-def compare_models(preds: DataFrame, keys: list[str]) -> DataFrame:
+def compare_models(preds: DataFrame, keys: list[str], models: list[str] | None = None) -> DataFrame:
     """Metrics per model on the keys that every model predicted, ranked by RMSE, ties by name.
 
-    ``dropped`` counts the keys of each model that some other model lacks.
+    ``models`` names the models, which spares finding them in the predictions. ``dropped`` counts
+    the predictions of each model whose key some other model lacks.
     """
     made = preds.filter(F.col("predicted").isNotNull())
+    if models is not None:
+        made = made.filter(F.col("model").isin(*models))
     # one mark per model, not one per row
     seen = made.groupBy(*keys).agg(F.size(F.collect_set("model")).alias("_models"))
-    n_models = made.agg(F.count_distinct("model")).scalar()
+    n_models = F.lit(len(set(models))) if models is not None else made.agg(F.count_distinct("model")).scalar()
     common = seen.filter(F.col("_models") == n_models).select(*keys, F.lit(True).alias("_common"))
     marked = join_null_safe(made, common, keys, "left")
     on_common = F.col("_common").isNotNull()

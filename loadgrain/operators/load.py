@@ -7,12 +7,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadgrain.functions.columns import elapsed, epoch_seconds, interval, join_null_safe, seconds
+from loadgrain.functions.columns import elapsed, epoch_micros, floor_div, join_null_safe, seconds
 from loadgrain.functions.quantile import exact_quantile
 from loadgrain.plans.series_split import Series, split_series
 from loadgrain.plans.small import pin_small
 
 RISE, FALL = "rise", "fall"
+# readings above which a piece of a transient's frame is cut into slices
+PIECE_ROWS = 1_000
 # used only when the signatures do not fit a broadcast
 SIGNATURE_BLOCKS = 64
 
@@ -83,77 +85,101 @@ def transient_features(
     ts: str = "ts",
     power: str = "power",
     tie: tuple[str, ...] = (),
-    pieces: int = 8,
 ) -> DataFrame:
     """Count, min, max and mean of the power around each event of ``df``, and the overshoot.
 
     The frames ``[ts - before, ts]`` and ``[ts, ts + after]`` both include the event's reading.
-    Time is cut into pieces. Only the pieces at the ends of a frame and at the event are joined
-    with readings; those in between give their totals. So a frame costs a few pieces however
-    many readings it holds, and readings are spread over (key, piece).
+    Time is cut into pieces as long as a frame, so an event looks into three of them at most.
+    A piece with many readings is cut again, into about as many slices as each then holds
+    readings: slices inside a frame answer with their totals, and readings are compared only
+    in the slices where a frame begins or ends.
     """
-    before_s, after_s = int(seconds(before)), int(seconds(after))
-    width = max(1, max(before_s, after_s) // pieces)
-    readings = df.filter(F.col(power).isNotNull()).select(
-        *keys,
-        F.floor(epoch_seconds(df, ts) / width).alias("_piece"),
-        F.col(ts).alias("_t"),
-        F.col(power).alias("_x"),
+    back, ahead = round(seconds(before) * 1e6), round(seconds(after) * 1e6)
+    width = max(back, ahead, 1)
+    readings = (
+        df.filter(F.col(power).isNotNull())
+        .select(*keys, epoch_micros(df, ts).alias("_us"), F.col(power).alias("_x"))
+        .withColumn("_piece", floor_div(F.col("_us"), width))
     )
-    single = readings.select(
-        *keys,
-        "_piece",
+    by_piece = [*keys, "_piece"]
+    by_slice = [*by_piece, "_slice"]
+    dense = (
+        readings.groupBy(*by_piece)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > PIECE_ROWS)
+        .select(*by_piece, F.ceil(F.lit(width) / F.ceil(F.sqrt("_n"))).alias("_w"))
+    )
+    dense, n_dense = pin_small(dense)
+    # width of the slices; an undivided piece is one slice
+    slices = lambda rows: (
+        rows.withColumn("_w", F.lit(width).cast("bigint"))
+        if n_dense == 0
+        else join_null_safe(rows, dense, by_piece, "left").withColumn("_w", F.coalesce("_w", F.lit(width)))
+    )
+    slice_of = lambda us: floor_div(us - F.col("_piece") * width, F.col("_w"))
+
+    sliced = slices(readings).withColumn("_slice", slice_of(F.col("_us")))
+    facts = sliced.select(
+        *by_slice,
         F.lit("reading").alias("_kind"),
-        "_t",
+        "_us",
         F.lit(1).cast("bigint").alias("_n"),
         *[F.col("_x").alias(c) for c in ("_sum", "_lo", "_hi")],
     )
-    totals = (
-        readings.groupBy(*keys, "_piece")
-        .agg(F.count("_x").alias("_n"), F.sum("_x").alias("_sum"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-        .withColumn("_kind", F.lit("total"))
-    )
-    facts = single.unionByName(totals, allowMissingColumns=True)
+    if n_dense != 0:
+        totals = (
+            sliced.filter(F.col("_w") < width)
+            .groupBy(*by_slice)
+            .agg(
+                F.count("_x").alias("_n"), F.sum("_x").alias("_sum"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
+            )
+            .withColumn("_kind", F.lit("total"))
+        )
+        facts = facts.unionByName(totals, allowMissingColumns=True)
 
-    # the frames reach from piece `first` to piece `last`, with a second to spare
-    second = epoch_seconds(events, ts)
-    framed = events.select(
-        *keys,
-        ts,
-        *tie,
-        F.floor((second - before_s - 1) / width).alias("_first"),
-        F.floor(second / width).alias("_mid"),
-        F.floor((second + after_s + 1) / width).alias("_last"),
+    who = [*keys, ts, *tie]
+    at, start, end = F.col("_at"), F.col("_at") - back, F.col("_at") + ahead
+    first, mid, last = (floor_div(c, width) for c in (start, at, end))
+    asked = slices(
+        events.select(*who, epoch_micros(events, ts).alias("_at")).withColumn(
+            "_piece", F.explode(F.array_distinct(F.array(first, mid, last)))
+        )
     )
-    first, mid, last = F.col("_first"), F.col("_mid"), F.col("_last")
-    left, right = _whole_numbers(first + 2, mid - 1), _whole_numbers(mid + 1, last - 2)
-    edges = F.array_except(F.array(first, first + 1, mid, last - 1, last), F.concat(left, right))
-    edges = F.filter(edges, lambda p: p.between(first, last))
-    tag = lambda pieces_, kind, side: F.transform(
-        pieces_, lambda p: F.struct(p.alias("_piece"), F.lit(kind).alias("_kind"), F.lit(side).alias("_side"))
+    piece, n_slices = F.col("_piece"), F.ceil(F.lit(width) / F.col("_w"))
+    # slices where the frames begin, meet and end; -1 and n_slices stand for other pieces
+    begins = F.when(piece == first, slice_of(start)).otherwise(-1)
+    meets = F.when(piece == mid, slice_of(at)).when(piece < mid, n_slices).otherwise(-1)
+    ends = F.when(piece == last, slice_of(end)).otherwise(n_slices)
+    asked = asked.withColumns({"_begins": begins, "_meets": meets, "_ends": ends, "_n_slices": n_slices})
+    compared = F.filter(
+        F.array_distinct(F.array("_begins", "_meets", "_ends")), lambda i: (i >= 0) & (i < F.col("_n_slices"))
     )
-    asked = framed.select(
-        *keys,
-        ts,
-        *tie,
-        F.inline(F.concat(tag(edges, "reading", "edge"), tag(left, "total", "left"), tag(right, "total", "right"))),
+    inside = {
+        "left": _whole_numbers(F.col("_begins") + 1, F.col("_meets") - 1),
+        "right": _whole_numbers(F.col("_meets") + 1, F.col("_ends") - 1),
+    }
+    tag = lambda numbers, kind, side: F.transform(
+        numbers, lambda i: F.struct(i.alias("_slice"), F.lit(kind).alias("_kind"), F.lit(side).alias("_side"))
     )
-    joined = join_null_safe(asked, facts, [*keys, "_piece", "_kind"])
-    time = F.col(ts)
+    wanted = tag(compared, "reading", "both")
+    if n_dense != 0:
+        wanted = F.concat(wanted, *[tag(numbers, "total", side) for side, numbers in inside.items()])
+    joined = join_null_safe(asked.select(*who, "_at", "_piece", F.inline(wanted)), facts, [*by_slice, "_kind"])
+
     in_frame = {
-        "before": (F.col("_side") == "left") | F.col("_t").between(time - interval(before), time),
-        "after": (F.col("_side") == "right") | F.col("_t").between(time, time + interval(after)),
+        "before": (F.col("_side") == "left") | F.col("_us").between(start, at),
+        "after": (F.col("_side") == "right") | F.col("_us").between(at, end),
     }
     aggs = []
-    for side, inside in in_frame.items():
-        n, total = F.sum(F.when(inside, F.col("_n"))), F.sum(F.when(inside, F.col("_sum")))
+    for side, counts in in_frame.items():
+        n, total = F.sum(F.when(counts, F.col("_n"))), F.sum(F.when(counts, F.col("_sum")))
         aggs += [
             n.alias(f"n_{side}"),
-            F.min(F.when(inside, F.col("_lo"))).alias(f"min_{side}"),
-            F.max(F.when(inside, F.col("_hi"))).alias(f"max_{side}"),
+            F.min(F.when(counts, F.col("_lo"))).alias(f"min_{side}"),
+            F.max(F.when(counts, F.col("_hi"))).alias(f"max_{side}"),
             (total / n).alias(f"mean_{side}"),
         ]
-    return joined.groupBy(*keys, ts, *tie).agg(*aggs).withColumn("overshoot", F.col("max_after") - F.col("mean_after"))
+    return joined.groupBy(*who).agg(*aggs).withColumn("overshoot", F.col("max_after") - F.col("mean_after"))
 
 
 def _whole_numbers(lo: Column, hi: Column) -> Column:

@@ -317,7 +317,7 @@ def robust_metrics_per_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return evaluate.compare_models(_predictions(spark, sf_dir), ["user_id", "ts"])
+    return evaluate.compare_models(_predictions(spark, sf_dir), ["user_id", "ts"], list(MODELS))
 
 
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:

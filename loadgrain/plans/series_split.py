@@ -106,6 +106,8 @@ class Series:
         before = totals.select(
             *self.parts, *[combine(name).over(earlier).alias(name) for name, (_, combine, _) in carries.items()]
         )
+        # known before the rows are read again, it joins them without another shuffle
+        before, _ = pin_small(before)
         joined = join_null_safe(self.rows, before, self.parts, "left")
         return self.with_rows(
             joined.withColumns({n: F.coalesce(F.col(n), c[2]) for n, c in carries.items()})

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
+# some tens of megabytes for the narrow tables this is used for
+MAX_BROADCAST_ROWS = 1_000_000
 
 
 def pin_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, int | None]:

@@ -40,13 +40,14 @@ def test_equal_power_is_one_state(spark):
 
 @pytest.mark.parametrize(
     ("before", "after", "span"),
-    [("6 hours", "6 hours", 400_000), ("2 seconds", "1 seconds", 20), ("10 minutes", "1 seconds", 4_000), ("3 seconds", "90 minutes", 9_000)],
+    [("6 hours", "6 hours", 400_000), ("2 seconds", "1 seconds", 20), ("10 minutes", "1 seconds", 4_000), ("3 seconds", "90 minutes", 9_000), ("300 milliseconds", "2 seconds", 20)],
 )
-@pytest.mark.parametrize("pieces", [1, 8, 40])
-def test_transients_equal_brute_force(spark, before, after, span, pieces):
+@pytest.mark.parametrize("piece_rows", [1, 12, 1_000])
+def test_transients_equal_brute_force(spark, monkeypatch, before, after, span, piece_rows):
+    monkeypatch.setattr(load, "PIECE_ROWS", piece_rows)
     df, rows = readings(spark, 7, [90, 40], span)
     events = load.detect_events(df, ["k"], 120.0, tie=("tie",))
-    found = load.transient_features(df, events, ["k"], before, after, tie=("tie",), pieces=pieces).collect()
+    found = load.transient_features(df, events, ["k"], before, after, tie=("tie",)).collect()
     assert len(found) == events.count() > 20
     import pandas as pd
 
