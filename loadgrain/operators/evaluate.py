@@ -10,6 +10,8 @@ from loadgrain.functions.quantile import exact_quantile
 from loadgrain.plans.small import pin_small
 
 SETS = ("train", "val", "test")
+# models are told apart by the bits of a bigint
+MAX_MODELS = 62
 
 
 def split(
@@ -95,12 +97,19 @@ def compare_models(preds: DataFrame, keys: list[str], models: list[str] | None =
     the predictions of each model whose key some other model lacks.
     """
     made = preds.filter(F.col("predicted").isNotNull())
-    if models is not None:
+    if models is None:
+        models = [r[0] for r in made.select("model").distinct().limit(MAX_MODELS + 1).collect()]
+    else:
+        models = list(dict.fromkeys(models))
         made = made.filter(F.col("model").isin(*models))
-    # one mark per model, not one per row
-    seen = made.groupBy(*keys).agg(F.size(F.collect_set("model")).alias("_models"))
-    n_models = F.lit(len(set(models))) if models is not None else made.agg(F.count_distinct("model")).scalar()
-    common = seen.filter(F.col("_models") == n_models).select(*keys, F.lit(True).alias("_common"))
+    if len(models) > MAX_MODELS:
+        raise ValueError(f"more than {MAX_MODELS} models")
+    # one bit per model, combined before the shuffle
+    names = F.array(*[F.lit(m) for m in models]).cast("array<string>")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.array_position(names, F.col("model")) - 1).cast("int"))
+    seen = made.groupBy(*keys).agg(F.bit_or(bit).alias("_seen"))
+    everyone = F.lit((1 << len(models)) - 1).cast("bigint")
+    common = seen.filter(F.col("_seen") == everyone).select(*keys, F.lit(True).alias("_common"))
     marked = join_null_safe(made, common, keys, "left")
     on_common = F.col("_common").isNotNull()
     scored = marked.groupBy("model").agg(
