@@ -334,5 +334,6 @@ ORACLE: dict[str, str] = {
                round(avg(power), 6) AS mean, min(power) AS min, max(power) AS max
         FROM x GROUP BY user_id, session HAVING max(ts) + INTERVAL 30 MINUTES <= {WATERMARK}""",
     "stream_events": f"""WITH {STEPS}
-        SELECT user_id, ts, p_before, p_after, round(step, 6) AS step, direction FROM e WHERE ts <= {WATERMARK}""",
+        SELECT user_id, ts, p_before, p_after, round(step, 6) AS step, direction
+        FROM e WHERE ts < time_bucket(INTERVAL 1 MINUTE, {WATERMARK}, TIMESTAMP '1970-01-01')""",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loadgrain.functions.columns import join_null_safe
+from loadgrain.plans.small import pin_small
 
 RAW = "_corrupt_record"
 
@@ -18,6 +19,8 @@ def read_batches(
     name_pattern: str,
     name_columns: list[str],
     timestamp_format: str | None = None,
+    column_order: list[str] | None = None,
+    options: dict[str, str] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Read many CSV files and return ``(rows, rejected rows)``.
 
@@ -26,12 +29,17 @@ def read_batches(
     is rejected, not dropped, when a value does not fit its type, when it has too many or
     too few values, or when its file has no header; the rejected rows keep the text of their
     values and the reason.
+
+    Finding the headers reads the files once more. ``column_order`` spares that if all files have
+    their columns in one order. ``options`` go to the CSV reader, such as ``sep`` or ``encoding``.
     """
     names = [f.name for f in schema.fields]
     cells = [f"_c{i}" for i in range(len(names))]
     raw_schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, RAW]])
+    cell = lambda c: F.trim(F.regexp_replace(c, "^\ufeff", ""))
     raw = (
         spark.read.schema(raw_schema)
+        .options(**(options or {}))
         .option("recursiveFileLookup", True)
         .option("columnNameOfCorruptRecord", RAW)
         .csv(path)
@@ -42,14 +50,16 @@ def read_batches(
         )
     )
     # a header holds every column name once, in any order
-    is_header = F.array_sort(F.transform("_cells", F.trim)) == F.array(*[F.lit(n) for n in sorted(names)])
+    is_header = F.array_sort(F.transform("_cells", cell)) == F.array(*[F.lit(n) for n in sorted(names)])
     is_header = F.coalesce(is_header, F.lit(False))
-    # the order of the columns, one row per file
-    headers = raw.filter(is_header).groupBy("source_file").agg(
-        F.min(F.transform("_cells", F.trim)).alias("_header")
-    )
-    # no hint: small header tables are broadcast, a huge file is split as a skewed join
-    body = join_null_safe(raw.filter(~is_header), headers, ["source_file"], "left")
+    body = raw.filter(~is_header)
+    if column_order:
+        body = body.withColumn("_header", F.array(*[F.lit(n) for n in column_order]))
+    else:
+        # the order of the columns, one row per file
+        headers = raw.filter(is_header).groupBy("source_file").agg(F.min(F.transform("_cells", cell)).alias("_header"))
+        # broadcast if the files are few; otherwise a huge file is split as a skewed join
+        body = join_null_safe(body, pin_small(headers)[0], ["source_file"], "left")
 
     text = {n: F.try_element_at("_cells", F.array_position("_header", n).cast("int")) for n in names}
     typed = body.select(
@@ -71,7 +81,7 @@ def read_batches(
             ),
             "value",
         )
-        .when(~F.lit(True) if not name_columns else ~F.col("source_file").rlike(name_pattern), "file name")
+        .when(F.lit(bool(name_columns)) & ~F.col("source_file").rlike(name_pattern), "file name")
         .alias("reason"),
     )
     rows = typed.filter(F.col("reason").isNull()).drop("raw", "reason")

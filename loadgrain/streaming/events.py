@@ -9,72 +9,95 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-STATE = "last double, ts array<bigint>, tie array<bigint>, power array<double>"
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
 def stream_events(
-    df: DataFrame, keys: list[str], threshold: float, ts: str = "ts", power: str = "power", tie: str | None = None
+    df: DataFrame,
+    keys: list[str],
+    threshold: float,
+    ts: str = "ts",
+    power: str = "power",
+    tie: str | None = None,
+    cell: str = "1 minute",
 ) -> DataFrame:
     """The events ``detect_events`` finds, from a watermarked stream.
 
-    Readings wait in the state of their series until the watermark has passed them. Then no
-    earlier one can arrive, and they are compared in order of ``ts`` and ``tie``. So the state
-    holds the readings of the watermark's delay and the last value before them.
+    Readings wait in cells of time until the watermark has passed the cell. Then no earlier one
+    can arrive; they are sorted and compared inside the cell. What remains per series is to
+    compare the first reading of a cell with the last one before it, so only that pair and
+    the events found go on, and a busy series is spread over its cells. Start the query
+    inside ``stream_settings``.
     """
-    key_fields = [df.schema[k] for k in keys]
-    out = T.StructType(
-        [
-            *key_fields,
-            T.StructField("ts_us", T.LongType()),
-            T.StructField("p_before", T.DoubleType()),
-            T.StructField("p_after", T.DoubleType()),
-        ]
+    tie_value = F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")
+    reading = F.struct(F.unix_micros(ts).alias("us"), tie_value.alias("tie"), F.col(power).alias("x"))
+    closed = (
+        df.groupBy(*keys, F.window(ts, cell).alias("_w"))
+        .agg(F.array_sort(F.collect_list(reading)).alias("_r"))
+        .withColumn("_size", F.size("_r"))
+    )
+    steps = F.zip_with(
+        F.slice("_r", 1, F.col("_size") - 1),
+        F.slice("_r", 2, F.col("_size") - 1),
+        lambda a, b: _found(b["us"], a["x"], b["x"]),
     )
+    events = F.filter(steps, lambda s: F.abs(s["p_after"] - s["p_before"]) >= threshold)
+    opening = F.element_at("_r", 1)
+    edge = _found(opening["us"], F.lit(None), opening["x"], F.element_at("_r", -1)["x"])
+    # the edges of a series meet in one group, its events pass by in groups of their own
+    rows = closed.select(
+        *keys,
+        F.explode(F.concat(F.array(edge), events)).alias("_e"),
+        F.unix_seconds("_w.end").alias("_cell"),
+    ).select(*keys, F.when(F.col("_e.is_edge"), F.lit(0)).otherwise(F.col("_cell")).alias("_group"), "_e.*")
 
-    def advance(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, *waiting = state.get if state.exists else (None, [], [], [])
-        parts = [[np.asarray(w, dtype=d)] for w, d in zip(waiting, ("int64", "int64", "float64"), strict=True)]
-        if not state.hasTimedOut:
-            for batch in batches:
-                for part, column in zip(parts, ("_us", "_tie", "_x"), strict=True):
-                    part.append(batch[column].to_numpy())
-        at, ties, x = (np.concatenate(p) for p in parts)
-        order = np.lexsort((ties, at))
-        at, ties, x = at[order], ties[order], x[order]
-
-        watermark = state.getCurrentWatermarkMs()
-        n = int(np.searchsorted(at, watermark * 1000, side="right"))
-        before = np.concatenate([[np.nan if last is None else last], x[: max(n - 1, 0)]])[:n]
-        if n:
-            last = float(x[n - 1])
-        state.update((last, at[n:].tolist(), ties[n:].tolist(), x[n:].tolist()))
-        if n < len(at):
-            state.setTimeoutTimestamp(max(int(at[n]) // 1000, watermark + 1))
-        hit = np.abs(x[:n] - before) >= threshold
-        if not hit.any():
-            return
-        found = {name: [value] * int(hit.sum()) for name, value in zip(keys, key, strict=True)}
-        yield pd.DataFrame({**found, "ts_us": at[:n][hit], "p_before": before[hit], "p_after": x[:n][hit]})
+    out = T.StructType([*[df.schema[k] for k in keys], *[rows.schema[c] for c in ("us", "p_before", "p_after")]])
 
     return (
-        # a null power stays in line as NaN: neither it nor the reading after it is an event
-        df.select(
-            *keys,
-            ts,
-            F.unix_micros(ts).alias("_us"),
-            (F.col(tie).cast("bigint") if tie else F.lit(0).cast("bigint")).alias("_tie"),
-            F.col(power).alias("_x"),
-        )
-        .groupBy(*keys)
-        .applyInPandasWithState(advance, out, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        rows.groupBy(*keys, "_group")
+        .transformWithStateInPandas(_CompareEdges([*keys, "us", "p_before", "p_after"], threshold), out, "append", "None")
         .select(
             *keys,
-            F.timestamp_micros("ts_us").alias("ts"),
+            F.timestamp_micros("us").alias("ts"),
             "p_before",
             "p_after",
             (F.col("p_after") - F.col("p_before")).alias("step"),
             F.when(F.col("p_after") > F.col("p_before"), "rise").otherwise("fall").alias("direction"),
         )
     )
+
+
+def _found(us, p_before, p_after, closing=None):
+    return F.struct(
+        us.alias("us"),
+        p_before.cast("double").alias("p_before"),
+        p_after.cast("double").alias("p_after"),
+        (F.lit(None) if closing is None else closing).cast("double").alias("closing"),
+        F.lit(closing is not None).alias("is_edge"),
+    )
+
+
+class _CompareEdges(StatefulProcessor):
+    """Passes events by; for the edges of a series, keeps the last reading of the newest cell."""
+
+    def __init__(self, columns: list[str], threshold: float):
+        self.columns, self.threshold = columns, threshold
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "last double")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if key[-1]:
+            for batch in rows:
+                yield batch[self.columns]
+            return
+        # cells that close later are later cells, so every batch continues the one before
+        edges = pd.concat(list(rows)).sort_values("us")
+        last = self.last.get()[0] if self.last.exists() else np.nan
+        before = np.concatenate([[last], edges["closing"].to_numpy()])
+        edges["p_before"] = before[:-1]
+        self.last.update((float(before[-1]),))
+        yield edges.loc[np.abs(edges["p_after"] - edges["p_before"]) >= self.threshold, self.columns]
+
+    def close(self) -> None:
+        pass

@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from loadgrain.functions.columns import as_instant
 from loadgrain.plans.scratch import new_folder
 
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
 
 def stream_readings(
     spark: SparkSession,
@@ -40,14 +50,31 @@ def run_available(stream: DataFrame, name: str) -> DataFrame:
     """Process what has arrived, write it to parquet in the shared folder and read it back."""
     spark = stream.sparkSession
     folder = new_folder(spark, name)
-    query = (
-        stream.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", f"{folder}/data")
-        .option("checkpointLocation", f"{folder}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    with stream_settings(spark):
+        query = (
+            stream.writeStream.format("parquet")
+            .outputMode("append")
+            .option("path", f"{folder}/data")
+            .option("checkpointLocation", f"{folder}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
     query.awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{folder}/data")
 
+
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Session options a query should start with; they are put back afterwards.
+
+    State goes to disk, as it may outgrow the heap and ``stream_events`` works with no other
+    store. Sessions are merged before the shuffle, which a busy key needs.
+    """
+    before = {key: spark.conf.get(key) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -54,6 +54,25 @@ def test_bad_rows_are_kept_aside(batches):
     assert got[1][2] == "2024-01-01 00:15:00,oops"
 
 
+def test_known_order_other_separator_and_byte_order_mark(spark, tmp_path):
+    (tmp_path / "T001_U9_20240101.csv").write_text("\ufeffpower;ts\n7.5;2024-01-01 00:00:00\n")
+    (tmp_path / "other.csv").write_text("power;ts\n8.5;2024-01-01 00:00:00\n")
+    for order in (["power", "ts"], None):
+        rows, rejected = read_batches(
+            spark, str(tmp_path), SCHEMA, PATTERN, ["terminal", "user", "day"], column_order=order, options={"sep": ";"}
+        )
+        assert [(r["terminal"], r["power"]) for r in rows.collect()] == [("T001", 7.5)]
+        assert [r["reason"] for r in rejected.collect()] == ["file name"]
+
+
+def test_timestamp_format(spark, tmp_path):
+    (tmp_path / "T001_U9_20240101.csv").write_text("ts,power\n2024/01/01 00:15,7.5\nsoon,1\n")
+    args = (spark, str(tmp_path), SCHEMA, PATTERN, ["terminal", "user", "day"])
+    rows, rejected = read_batches(*args, timestamp_format="yyyy/MM/dd HH:mm")
+    assert [str(r["ts"]) for r in rows.collect()] == ["2024-01-01 00:15:00"]
+    assert [r["raw"] for r in rejected.collect()] == ["soon,1"]
+
+
 def test_overlapping_files_are_found_and_merged(batches):
     rows, _ = batches
     spans = coverage(rows, ["terminal", "source_file"])

@@ -44,13 +44,16 @@ def files(spark, tmp_path):
     return str(tmp_path / "in"), rows
 
 
-def test_events_equal_batch_when_files_come_out_of_order(spark, files):
+@pytest.mark.parametrize(("cell", "minutes"), [("1 minute", 1), ("1 hour", 60)])
+def test_events_equal_batch_when_files_come_out_of_order(spark, files, cell, minutes):
     path, rows = files
     stream = stream_readings(spark, path, SCHEMA, ["k"], "1 hour", files_per_trigger=1)
-    found = run_available(stream_events(stream, ["k"], 100.0, tie="tie"), "test_events")
+    found = run_available(stream_events(stream, ["k"], 100.0, tie="tie", cell=cell), "test_events")
     batch = detect_events(spark.createDataFrame(rows, SCHEMA), ["k"], 100.0, tie=("tie",))
-    closed = max(r[1] for r in rows) - timedelta(hours=1)
-    want = batch.filter(F.col("ts") <= F.lit(closed).cast("timestamp_ntz")).select(*COLUMNS)
+    # whole cells below the watermark
+    closed = (max(r[1] for r in rows) - timedelta(hours=1) - START) // timedelta(minutes=minutes)
+    until = START + closed * timedelta(minutes=minutes)
+    want = batch.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz")).select(*COLUMNS)
     assert want.count() > 100
     assert spark_rows(found.withColumn("ts", as_wall_clock("ts")).select(*COLUMNS)) == spark_rows(want)
 
