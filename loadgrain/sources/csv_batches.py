@@ -59,7 +59,7 @@ def read_batches(
         # the order of the columns, one row per file
         headers = raw.filter(is_header).groupBy("source_file").agg(F.min(F.transform("_cells", cell)).alias("_header"))
         # broadcast if the files are few; otherwise a huge file is split as a skewed join
-        body = join_null_safe(body, pin_small(headers)[0], ["source_file"], "left")
+        body = join_null_safe(body, pin_small(headers, 100_000)[0], ["source_file"], "left")
 
     text = {n: F.try_element_at("_cells", F.array_position("_header", n).cast("int")) for n in names}
     typed = body.select(
