@@ -10,7 +10,7 @@ from loadgrain.plans.series_split import split_series
 from loadgrain.plans.small import pin_small
 
 # starts per time bin above which a bin is divided
-BIN_ROWS = 2_000
+BIN_ROWS = 200
 
 
 def overlap_pairs(
@@ -19,15 +19,16 @@ def overlap_pairs(
     interval_id: str = "interval_id",
     start: str = "start",
     end: str = "end",
-    bin_seconds: int = 86_400,
+    bin_seconds: int | None = None,
     bin_rows: int = BIN_ROWS,
 ) -> DataFrame:
     """Pairs of intervals of one key that overlap; touching ones do not.
 
     The later start of an overlapping pair lies inside the other interval. So each interval is
     looked up in the bin of its start only, among the intervals that cover that bin, which
-    finds every pair once. Bins with many starts are divided, so rows that do not overlap
-    are rarely compared.
+    finds every pair once. Bins are as long as an interval or hold some dozens of starts of an
+    average key; those with many more are divided. So rows that do not overlap are rarely
+    compared.
     """
     s, e = epoch_seconds(iv, start), epoch_seconds(iv, end)
     valid = iv.filter(F.col(start) <= F.col(end)).select(
@@ -38,6 +39,7 @@ def overlap_pairs(
         s.alias("_s"),
         e.alias("_e"),
     )
+    bin_seconds = bin_seconds or _bin_seconds(valid, key)
     first = F.floor(F.col("_s") / bin_seconds)
     last = F.floor(F.col("_e") / bin_seconds)
     starts = valid.withColumn("_bin", first)
@@ -89,6 +91,19 @@ def overlap_pairs(
     )
 
 
+def _bin_seconds(valid: DataFrame, key: list[str]) -> int:
+    row = valid.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.approx_count_distinct(F.xxhash64(*key)).alias("keys"),
+        (F.max("_s") - F.min("_s")).alias("span"),
+        F.avg(F.col("_e") - F.col("_s")).alias("length"),
+    ).first()
+    if not row["n"]:
+        return 1
+    spacing = row["span"] * row["keys"] / row["n"]
+    return max(1, int(row["length"]), int(BIN_ROWS / 4 * spacing))
+
+
 def merge_intervals(
     iv: DataFrame, key: list[str], interval_id: str = "interval_id", start: str = "start", end: str = "end"
 ) -> DataFrame:

@@ -23,7 +23,7 @@ def intervals(spark, seed: int, n: int, keys: int, longest: float):
 
 
 @pytest.mark.parametrize("bin_rows", [1, 3, 100_000])
-@pytest.mark.parametrize("bin_seconds", [3_600, 86_400])
+@pytest.mark.parametrize("bin_seconds", [3_600, 86_400, None])
 @pytest.mark.parametrize("longest", [90, 4_000])
 def test_pairs_equal_brute_force(spark, bin_rows, bin_seconds, longest):
     df, rows = intervals(spark, 5, 200, 3, longest)
@@ -66,6 +66,12 @@ def test_islands_equal_a_sweep(spark, conf, limit, longest):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+def test_nothing_overlaps_nothing(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert overlap_pairs(empty, ["key"]).count() == 0
+    assert merge_intervals(empty, ["key"]).count() == 0
+
+
 def test_touching_is_no_overlap_but_one_island(spark):
     rows = [(1, 1, START, START + timedelta(hours=1)), (1, 2, START + timedelta(hours=1), START + timedelta(hours=2))]
     df = spark.createDataFrame(rows, SCHEMA)
