@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadgrain.functions.columns import interval
-from loadgrain.plans.series_split import split_series
+from loadgrain.functions.columns import interval, seconds
+from loadgrain.plans.series_split import Series, series_rows, split_series
 
 
 def resample(
@@ -40,7 +41,10 @@ def resample(
     buckets = inside.groupBy(*keys, "_b").agg(_aggregate(agg, value).alias("_v"))
 
     known = buckets.filter(F.col("_b").isNotNull())
-    series = split_series(known, keys, "_b").with_lookback(["_b"], ["_v"], 1)
+    # the range bounds how many buckets a series can have
+    most = (pd.Timestamp(end) - pd.Timestamp(start)).total_seconds() / seconds(every) + 1
+    series = Series(known, tuple(keys), False) if most <= series_rows(df) else split_series(known, keys, "_b")
+    series = series.with_lookback(["_b"], ["_v"], 1)
     w = series.window(["_b"])
     series = series.with_rows(
         series.rows.withColumns({"_pb": F.lag("_b").over(w), "_pv": F.lag("_v").over(w)})

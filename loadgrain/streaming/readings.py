@@ -27,7 +27,7 @@ def stream_readings(
     delay: str,
     ts: str = "ts",
     file_filter: str | None = None,
-    files_per_trigger: int | None = None,
+    files_per_trigger: int = 1_000,
 ) -> DataFrame:
     """Parquet files as they arrive, without repeated (keys, ts).
 
@@ -35,11 +35,9 @@ def stream_readings(
     are recognised while the watermark, ``delay`` behind the newest reading, has not passed
     them, so the state stays bounded.
     """
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
     if file_filter:
         reader = reader.option("pathGlobFilter", file_filter)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     stream = reader.parquet(path)
     if isinstance(schema[ts].dataType, T.TimestampNTZType):
         stream = stream.withColumn(ts, as_instant(ts))
