@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+EVENT_GROUPS = 256
+
 
 def stream_events(
     df: DataFrame,
@@ -44,18 +46,22 @@ def stream_events(
     events = F.filter(steps, lambda s: F.abs(s["p_after"] - s["p_before"]) >= threshold)
     opening = F.element_at("_r", 1)
     edge = _found(opening["us"], F.lit(None), opening["x"], F.element_at("_r", -1)["x"])
-    # the edges of a series meet in one group, its events pass by in groups of their own
     rows = closed.select(
         *keys,
         F.explode(F.concat(F.array(edge), events)).alias("_e"),
-        F.unix_seconds("_w.end").alias("_cell"),
-    ).select(*keys, F.when(F.col("_e.is_edge"), F.lit(0)).otherwise(F.col("_cell")).alias("_group"), "_e.*")
-
+        F.xxhash64(*keys, "_w").alias("_hash"),
+    )
+    # the edges of a series meet in a group of their own, where they have state; the events found
+    # need none and pass in a few large groups. Text, as pandas turns bigint keys next to null
+    # ones into floats, which would be other keys of the state
+    is_edge = F.col("_e.is_edge")
+    passing = F.concat(F.lit("event "), F.pmod("_hash", F.lit(EVENT_GROUPS)))
+    group = F.when(is_edge, F.to_json(F.struct(*keys))).otherwise(passing)
+    rows = rows.select(*keys, group.alias("_group"), "_e.*")
     out = T.StructType([*[df.schema[k] for k in keys], *[rows.schema[c] for c in ("us", "p_before", "p_after")]])
-
     return (
-        rows.groupBy(*keys, "_group")
-        .transformWithStateInPandas(_CompareEdges([*keys, "us", "p_before", "p_after"], threshold), out, "append", "None")
+        rows.groupBy("_group")
+        .transformWithStateInPandas(_CompareEdges(out.names, threshold), out, "append", "None")
         .select(
             *keys,
             F.timestamp_micros("us").alias("ts"),
@@ -87,7 +93,7 @@ class _CompareEdges(StatefulProcessor):
         self.last = handle.getValueState("last", "last double")
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        if key[-1]:
+        if key[0].startswith("event"):
             for batch in rows:
                 yield batch[self.columns]
             return
