@@ -30,7 +30,7 @@ COLUMNS = ["k", "ts", "p_before", "p_after", "step", "direction"]
 def files(spark, tmp_path):
     """Readings in six files; each file is shuffled and overlaps its neighbours by 20 minutes."""
     rng = random.Random(4)
-    rows = [(i % 3, START + timedelta(minutes=2 * i), i, round(rng.uniform(0, 300), 1)) for i in range(600)]
+    rows = [(i % 3 or None, START + timedelta(minutes=2 * i), i, round(rng.uniform(0, 300), 1)) for i in range(600)]
     rows[100] = (*rows[100][:3], None)
     shuffled = [[] for _ in range(6)]
     for row in rows:
