@@ -106,7 +106,8 @@ def compare_models(preds: DataFrame, keys: list[str], models: list[str] | None =
         raise ValueError(f"more than {MAX_MODELS} models")
     # one bit per model, combined before the shuffle
     names = F.array(*[F.lit(m) for m in models]).cast("array<string>")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.array_position(names, F.col("model")) - 1).cast("int"))
+    place = (F.array_position(names, F.col("model")) - 1).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
     seen = made.groupBy(*keys).agg(F.bit_or(bit).alias("_seen"))
     everyone = F.lit((1 << len(models)) - 1).cast("bigint")
     common = seen.filter(F.col("_seen") == everyone).select(*keys, F.lit(True).alias("_common"))
@@ -120,7 +121,12 @@ def compare_models(preds: DataFrame, keys: list[str], models: list[str] | None =
     return scored.withColumn("rank", F.rank().over(Window.orderBy("rmse", "model")))
 
 
-def ablation(results: DataFrame, baseline: str, variant: str = "variant", values: tuple[str, ...] = ("mae", "rmse", "r2")):
+def ablation(
+    results: DataFrame,
+    baseline: str,
+    variant: str = "variant",
+    values: tuple[str, ...] = ("mae", "rmse", "r2"),
+) -> DataFrame:
     """Difference of each variant's metrics to the baseline's, absolute and relative."""
     base = results.filter(F.col(variant) == baseline)
     # one scalar per metric; results has one row per variant

@@ -37,7 +37,9 @@ def invert_scaler(df: DataFrame, params: DataFrame, value: str, out: str, by: li
     return _with_params(df, params, by, out, F.col(value) * F.col("_scale") + F.col("_offset"))
 
 
-def dual_scale(df: DataFrame, x: str, y: str, by: list[str] | None = None, train: DataFrame | None = None):
+def dual_scale(
+    df: DataFrame, x: str, y: str, by: list[str] | None = None, train: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Scale input ``x`` and target ``y`` by scalers of their own.
 
     Returns the table with ``x_scaled`` and ``y_scaled`` and the parameters of the target,
@@ -52,7 +54,8 @@ def dual_scale(df: DataFrame, x: str, y: str, by: list[str] | None = None, train
         ]
     )
     both, _ = pin_small(both)
-    pick = lambda c: both.select(*(by or []), *[F.col(f"{n}_{c}").alias(n) for n in ("offset", "scale", "n")])
+    names = ("offset", "scale", "n")
+    pick = lambda c: both.select(*(by or []), *[F.col(f"{n}_{c}").alias(n) for n in names])
     target = pick(y)
     scaled = apply_scaler(apply_scaler(df, pick(x), x, "x_scaled", by), target, y, "y_scaled", by)
     return scaled, target

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -262,7 +262,7 @@ def _lagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     so_far = back.with_carry(
         _sum=(F.sum("power"), F.sum, F.lit(0.0)), _n=(F.count("power"), F.sum, F.lit(0).cast("bigint"))
     )
-    earlier = so_far.window(order).rowsBetween(-(2**63), -1)
+    earlier = so_far.window(order).rowsBetween(Window.unboundedPreceding, -1)
     total = F.coalesce(F.sum("power").over(earlier), F.lit(0.0)) + F.col("_sum")
     n = F.count("power").over(earlier) + F.col("_n")
     return so_far.with_rows(so_far.rows.withColumn("running", total / F.nullif(n, F.lit(0)))).finish().drop("_sum", "_n")
