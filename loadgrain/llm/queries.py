@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadgrain.llm.common import table
+from loadgrain.llm.embeddings import near_embeddings
 from loadgrain.llm.huffman import read_ids, write_ids
 from loadgrain.llm.packing import pack_powers_of_two
+from loadgrain.llm.simhash import simhash_components
 from loadgrain.llm.tokens import read_tokenizer
 from loadgrain.plans.scratch import new_folder
 
@@ -45,8 +47,19 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_embeddings(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
 QUERIES = {
     "op2_huffman_ids": huffman_ids,
+    "op4_simhash_anchors": simhash,
     "op6_pack_powers_of_two": pack,
+    "op8_spherical_caps": spherical_caps,
 }
 ORACLE: dict[str, str] = {}
