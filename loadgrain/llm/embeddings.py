@@ -16,6 +16,8 @@ from loadgrain.llm.components import components
 
 # filters that a vector exceeds on average
 FILTERS = 20
+# and at least, about
+LEAST_FILTERS = 16
 # vectors that share a label and a filter, on average, if they lay at random
 BUCKET = 64
 # vectors of a bucket in one task, and in one comparison
@@ -54,24 +56,23 @@ def caps(vectors: np.ndarray, words: int, seed: int = 7) -> tuple[np.ndarray, np
     A filter's direction is a word of the first code beside a word of the second; it is exceeded by a score of
     at least the threshold that ``FILTERS`` of all filters exceed on average. For each word of the first
     code, the words of the second that reach the threshold are a prefix of its sorted scores, so only filters
-    that are exceeded are listed. A vector that exceeds none takes its best filter.
+    that are exceeded are listed. A vector that exceeds few has its threshold lowered to its best ``LEAST_FILTERS``.
     """
     dims = vectors.shape[1]
     turn, first, second = _code(dims, words, seed)
-    x = vectors @ turn
     half = first.shape[1]
-    one = x[:, :half] @ first.T
-    two = (x[:, half:] if dims > half else np.zeros((len(x), 1))) @ second.T
     least = NormalDist().inv_cdf(1 - min(0.5, FILTERS / words**2)) * np.sqrt(2 / dims)
+    best = min(LEAST_FILTERS, words)
     rows, filters = [], []
-    for i in range(len(x)):
-        order = np.argsort(-two[i])
-        ranked = two[i][order]
-        top = np.flatnonzero(one[i] + ranked[0] >= least)
-        if not len(top):
-            top, reach = np.array([one[i].argmax()]), np.array([1])
-        else:
-            reach = np.searchsorted(-ranked, -(least - one[i][top]), side="right")
+    for i, vector in enumerate(vectors):  # each by itself: the same scores in every batch
+        x = vector @ turn
+        one, two = first @ x[:half], second @ (x[half:] if dims > half else np.zeros(1))
+        order = np.argsort(-two)
+        ranked = two[order]
+        tops = np.sort(one)[-best:, None] + ranked[None, :best]
+        floor = min(least, np.partition(tops, -best, axis=None)[-best])
+        top = np.flatnonzero(one + ranked[0] >= floor)
+        reach = np.searchsorted(-ranked, -(floor - one[top]), side="right")
         own = np.concatenate([t * words + order[:r] for t, r in zip(top, reach, strict=True)])
         own.sort()
         rows.append(np.full(len(own), i))
@@ -121,9 +122,33 @@ def compare_bucket(
     only pairs between them are compared.
     """
     norm = np.sqrt((x * x).sum(axis=1))
-    row, found = caps(x / norm[:, None], words)
-    row, found = row[found < filter_id], found[found < filter_id]
-    names, place, users = np.unique(found, return_inverse=True, return_counts=True)
+    parts = [np.arange(len(x))] if chunk is None else [np.flatnonzero(chunk == c) for c in np.unique(chunk)]
+    cuts = [[p[at : at + BLOCK] for at in range(0, len(p), BLOCK)] for p in parts]
+    if len(parts) == 2:
+        pairs = [(a, b) for a in cuts[0] for b in cuts[1]]
+    else:
+        pairs = [(a, b) for i, a in enumerate(cuts[0]) for b in cuts[0][i:]]
+
+    def marks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        near = (x[a] @ x[b].T) / (norm[a][:, None] * norm[b][None, :]) >= least
+        if a is b:
+            np.fill_diagonal(near, False)
+        return near
+
+    hit, hits = np.zeros(len(x), bool), []
+    for a, b in pairs:
+        near = marks(a, b)
+        if near.any():
+            hit[a] |= near.any(axis=1)
+            hit[b] |= near.any(axis=0)
+            hits.append((a, b))
+    if not hits:
+        empty = np.zeros(0, np.int64)
+        return empty, empty, empty, empty
+    whose = np.flatnonzero(hit)
+    row, found = caps(x[whose] / norm[whose][:, None], words)
+    row, found = whose[row[found < filter_id]], found[found < filter_id]
+    _, place, users = np.unique(found, return_inverse=True, return_counts=True)
     use = users[place] > 1
     row, place = row[use], (np.cumsum(users > 1) - 1)[place[use]]
     shared = int((users > 1).sum())
@@ -136,20 +161,9 @@ def compare_bucket(
         out[back[row[inside]], place[inside]] = 1
         return out
 
-    parts = [np.arange(len(x))] if chunk is None else [np.flatnonzero(chunk == c) for c in np.unique(chunk)]
-    cuts = [[p[at : at + BLOCK] for at in range(0, len(p), BLOCK)] for p in parts]
-    if len(parts) == 2:
-        pairs = [(a, b) for a in cuts[0] for b in cuts[1]]
-    else:
-        pairs = [(a, b) for i, a in enumerate(cuts[0]) for b in cuts[0][i:]]
     left, right, degree = [], [], np.zeros(len(x), np.int64)
-    for a, b in pairs:
-        near = (x[a] @ x[b].T) / (norm[a][:, None] * norm[b][None, :]) >= least
-        same = a is b
-        if same:
-            np.fill_diagonal(near, False)
-        if not near.any():
-            continue
+    for a, b in hits:
+        near = marks(a, b)
         p, q = _spread(near)
         both = np.concatenate([a, b])
         left.append(cid[both[p]])
@@ -157,11 +171,8 @@ def compare_bucket(
         if shared:
             near &= (smaller(a) @ smaller(b).T) == 0
         degree[a] += near @ copies[b]
-        if not same:
+        if a is not b:
             degree[b] += near.T @ copies[a]
-    if not left:
-        empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty
     own = np.flatnonzero(degree)
     return np.concatenate(left), np.concatenate(right), own, degree[own]
 
