@@ -10,6 +10,7 @@ from loadgrain.llm.embeddings import near_embeddings
 from loadgrain.llm.huffman import read_ids, write_ids
 from loadgrain.llm.packing import pack_powers_of_two
 from loadgrain.llm.simhash import simhash_components
+from loadgrain.llm.suffixes import remove_repeated_bytes
 from loadgrain.llm.tokens import read_tokenizer
 from loadgrain.plans.scratch import new_folder
 
@@ -56,10 +57,22 @@ def spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_bytes(table(spark, sf_dir, "documents"), length=100)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("begins").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op2_huffman_ids": huffman_ids,
     "op4_simhash_anchors": simhash,
     "op6_pack_powers_of_two": pack,
     "op8_spherical_caps": spherical_caps,
+    "op10_bucket_pointers": suffixes,
 }
 ORACLE: dict[str, str] = {}
