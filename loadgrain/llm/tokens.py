@@ -1,7 +1,8 @@
 """Token ids of whole texts with a tokenizer of the tokenizers library.
 
 A tokenizer is asked once for each distinct word of a batch: its pre-tokenizer never joins what blanks
-separate, so the ids of a text are those of its blank-separated pieces in a row.
+separate, nor a full stop or comma with the letter before it, so the ids of a text are those of its words in a
+row. Words are asked for in groups; those of letters alone are told apart by the tokens that end a word.
 """
 
 from __future__ import annotations
@@ -14,11 +15,18 @@ import pyarrow as pa
 
 from loadgrain.llm.common import text_bytes
 
-# blanks at which a text may be cut; all others stay inside a piece and reach the tokenizer
+# blanks at which a text may be cut; all others stay inside a word and reach the tokenizer
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 13, 32]] = True
+STOP = np.zeros(256, bool)
+STOP[[44, 46]] = True
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 # words remembered by a worker between batches
-MAX_WORDS = 300_000
+MAX_WORDS = 400_000
+GROUP = 50
 
 _loaded: dict[str, WordEncoder] = {}
 
@@ -30,53 +38,82 @@ def read_tokenizer(path: str) -> str:
 
 
 class WordEncoder:
+    """For tokenizers that lower-case, split at blanks and mark the last token of a word with ``</w>``."""
+
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, list[int]] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.first = self.size = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.int64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's ids begin."""
         data, offsets = text_bytes(texts)
+        nothing = np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
         if not len(data):
-            return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+            return nothing
+        if b"<|" not in data.tobytes():  # else it may hold a special token, which is told by its case
+            plain = np.append(data[1:] < 128, True)  # letters before a combining mark are left to the tokenizer
+            data = np.where(plain, LOWER[data], data)
         solid = ~BLANK[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offsets] = True
-        before = np.empty(len(data), bool)
-        before[0], before[1:] = False, solid[:-1]
-        begins = np.flatnonzero(solid & (~before | edge[:-1]))
-        after = np.empty(len(data), bool)
-        after[-1], after[:-1] = False, solid[1:]
-        ends = np.flatnonzero(solid & (~after | edge[1:])) + 1
+        edge[1:-1] |= (STOP[data[1:]] & LETTER[data[:-1]]) | ~solid[:-1]
+        begins = np.flatnonzero(solid & edge[:-1])
         if not len(begins):
-            return np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
+            return nothing
+        edge[1:-1] |= ~solid[1:]
+        ends = np.flatnonzero(solid & edge[1:]) + 1
         places = np.concatenate([[0], np.cumsum(ends - begins)]).astype(np.int64)
         words = pa.LargeStringArray.from_buffers(
             len(begins), pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(data[solid]))
         ).dictionary_encode()
-        ids = self._ids(words.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(size.sum()))
-        first = np.cumsum(size) - size
-        which = words.indices.to_numpy()
-        count = size[which]
+        which = self._known(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        count = self.size[which]
         done = np.concatenate([[0], np.cumsum(count)])
-        out = flat[np.repeat(first[which] - done[:-1], count) + np.arange(done[-1])]
+        out = self.flat[np.repeat(self.first[which] - done[:-1], count) + np.arange(done[-1])]
         return out, done[np.searchsorted(begins, offsets)]
 
-    def _ids(self, words: list[str]) -> list[list[int]]:
-        known = self.known
-        if len(known) > MAX_WORDS:
-            known.clear()
-        new = [w for w in words if w not in known]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                known[word] = found.ids
-        return [known[w] for w in words]
+    def _known(self, words: list[str]) -> np.ndarray:
+        """Where each word stands among those remembered."""
+        if len(self.place) > MAX_WORDS:
+            self._forget()
+        place = self.place
+        new = [w for w in words if w not in place]
+        whole = [w for w in new if w.isalpha()]
+        other = [w for w in new if not w.isalpha()]
+        flat, size = self._letters(whole)
+        ids = [list(found) for found in self._ask(other)]
+        flat = np.concatenate([self.flat, flat, np.fromiter(itertools.chain.from_iterable(ids), np.int64)])
+        self.size = np.concatenate([self.size, size, np.fromiter(map(len, ids), np.int64)])
+        self.flat, self.first = flat, np.cumsum(self.size) - self.size
+        place.update(zip(whole + other, range(len(place), len(place) + len(new)), strict=True))
+        return np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+
+    def _ask(self, texts: list[str]) -> list[list[int]]:
+        out = []
+        for at in range(0, len(texts), 5_000):
+            out += [found.ids for found in self.tokenizer.encode_batch_fast(texts[at : at + 5_000], add_special_tokens=False)]
+        return out
+
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words of letters in a row, and how many each has."""
+        groups = [" ".join(words[at : at + GROUP]) for at in range(0, len(words), GROUP)]
+        flat = np.fromiter(itertools.chain.from_iterable(self._ask(groups)), np.int64)
+        ends = np.flatnonzero(self.last[flat])
+        if len(ends) != len(words) or (len(ends) and ends[-1] != len(flat) - 1):
+            ids = self._ask(words)
+            return np.fromiter(itertools.chain.from_iterable(ids), np.int64), np.fromiter(map(len, ids), np.int64)
+        return flat, np.diff(ends, prepend=-1)
 
 
 def encoder(definition: str) -> WordEncoder:
