@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loadgrain.llm.common import table
 from loadgrain.llm.embeddings import near_embeddings
 from loadgrain.llm.huffman import read_ids, write_ids
+from loadgrain.llm.langid import identify, train_language_model
 from loadgrain.llm.packing import pack_powers_of_two
+from loadgrain.llm.passages import remove_repeated_passages
 from loadgrain.llm.simhash import simhash_components
 from loadgrain.llm.suffixes import remove_repeated_bytes
 from loadgrain.llm.tokens import read_tokenizer
@@ -48,6 +50,18 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """Documents that a classifier must not learn from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train_language_model(docs.filter(~held_out() & F.col("doc_id").isNotNull()))
+    found = identify(docs, model)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
@@ -57,6 +71,11 @@ def spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_passages(table(spark, sf_dir, "documents"), window=35)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_bytes(table(spark, sf_dir, "documents"), length=100)
     return found.select(
@@ -70,8 +89,10 @@ def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_huffman_ids": huffman_ids,
+    "op3_language_id": language_id,
     "op4_simhash_anchors": simhash,
     "op6_pack_powers_of_two": pack,
+    "op7_de_bruijn": passages,
     "op8_spherical_caps": spherical_caps,
     "op10_bucket_pointers": suffixes,
 }
