@@ -11,6 +11,7 @@ from loadgrain.llm.huffman import read_ids, write_ids
 from loadgrain.llm.langid import identify, train_language_model
 from loadgrain.llm.packing import pack_powers_of_two
 from loadgrain.llm.passages import remove_repeated_passages
+from loadgrain.llm.secret_scan import as_text, find_secrets
 from loadgrain.llm.simhash import simhash_components
 from loadgrain.llm.suffixes import remove_repeated_bytes
 from loadgrain.llm.tokens import read_tokenizer
@@ -71,6 +72,20 @@ def spherical_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_embeddings(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")),
+        F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),
+        as_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeated_passages(table(spark, sf_dir, "documents"), window=35)
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -91,6 +106,7 @@ QUERIES = {
     "op2_huffman_ids": huffman_ids,
     "op3_language_id": language_id,
     "op4_simhash_anchors": simhash,
+    "op5_secret_entropy": secrets,
     "op6_pack_powers_of_two": pack,
     "op7_de_bruijn": passages,
     "op8_spherical_caps": spherical_caps,
