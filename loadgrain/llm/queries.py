@@ -14,6 +14,7 @@ from loadgrain.llm.passages import remove_repeated_passages
 from loadgrain.llm.secret_scan import as_text, find_secrets
 from loadgrain.llm.simhash import simhash_components
 from loadgrain.llm.suffixes import remove_repeated_bytes
+from loadgrain.llm.templates import decontaminate
 from loadgrain.llm.tokens import read_tokenizer
 from loadgrain.plans.scratch import new_folder
 
@@ -26,6 +27,12 @@ def tokenizer() -> str:
     return read_tokenizer(public_tokenizers.path(TOKENIZER))
 
 
+def template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "contaminated", "items", F.size("items").cast("long").alias("n_items"))
+
+
 def huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "huffman-ids")
     write_ids(table(spark, sf_dir, "documents"), path, tokenizer(), end_id=1)
@@ -103,6 +110,7 @@ def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_template_leaks": template_leaks,
     "op2_huffman_ids": huffman_ids,
     "op3_language_id": language_id,
     "op4_simhash_anchors": simhash,
