@@ -20,7 +20,7 @@ SHARD_IDS = 500_000
 SHARDS = T.StructType(
     [
         T.StructField("part", T.IntegerType()),
-        T.StructField("shard", T.IntegerType()),
+        T.StructField("first", T.LongType()),
         T.StructField("n_ids", T.LongType()),
         T.StructField("doc_ids", T.ArrayType(T.LongType())),
         T.StructField("doc_tokens", T.ArrayType(T.LongType())),
@@ -31,36 +31,52 @@ SHARDS = T.StructType(
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit, with the end id) of every document."""
+    """``doc_id`` and ``ids`` (little-endian, 16 or 32 bits as the vocabulary needs, with the end id) of every document.
+
+    The last row of each task has ``counts`` instead: how often each id from 0 on occurs in its documents.
+    """
 
     def encode(batches):
         words = encoder(shared.value)
+        kind = "<u2" if len(words.last) <= 1 << 16 and end_id < 1 << 16 else "<u4"
+        total = np.zeros(max(len(words.last), end_id + 1), np.int64)
         for batch in steps(batches):
             ids, starts = with_end(*words.encode(batch.column(1)), end_id)
-            data = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(starts * 4), pa.py_buffer(ids.astype("<u4"))]
-            )
-            yield pa.RecordBatch.from_arrays([batch.column(0), data.cast(pa.binary())], names=["doc_id", "ids"])
+            total += np.bincount(ids, minlength=len(total))
+            yield out(batch.column(0), packed(ids.astype(kind), starts), pa.nulls(batch.num_rows, pa.binary()))
+        yield out(pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()]))
+
+    def packed(ids, starts):
+        data = [None, pa.py_buffer(starts * ids.itemsize), pa.py_buffer(ids)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, data).cast(pa.binary())
+
+    def out(*columns):
+        return pa.RecordBatch.from_arrays(list(columns), names=["doc_id", "ids", "counts"])
 
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(encode, "doc_id long, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    return rows.mapInArrow(encode, "doc_id long, ids binary, counts binary")
 
 
-def count_ids(tokens: DataFrame) -> DataFrame:
-    """How often each id occurs in all documents; counted within each task before the shuffle."""
+def count_ids(tokens: DataFrame) -> np.ndarray:
+    """How often each id occurs in all documents, added up from the counts of the tasks."""
 
-    def count(batches):
-        total = np.zeros(0, np.int64)
+    def add(batches):
+        total = None
         for batch in batches:
-            for ids in batch.column(0):
-                found = np.bincount(np.frombuffer(ids.as_buffer() or b"", "<u4"))
-                if len(found) > len(total):
-                    total = np.concatenate([total, np.zeros(len(found) - len(total), np.int64)])
-                total[: len(found)] += found
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
-
-    return tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for counts in batch.column(0):
+                own = np.frombuffer(counts.as_buffer(), "<i8")
+                total = own.copy() if total is None else total + own
+        if total is not None:
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["id", "n"])
+
+    parts = tokens.filter("counts is not null").select("counts").mapInArrow(add, "id long, n long")
+    # as many rows as the vocabulary has at most
+    found = parts.groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    total = np.zeros(int(found["id"].max()) + 1 if len(found) else 0, np.int64)
+    total[found["id"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    return total
 
 
 def code_lengths(counts: np.ndarray, longest: int) -> np.ndarray:
@@ -151,21 +167,22 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, longest:
 
     ``path/codes`` holds the code's length for each id: lengths are all that a canonical code needs.
     ``path/shards`` holds the bits in rows of about ``SHARD_IDS`` ids with a bit offset for each block.
-    Documents are dealt by ranges of ``doc_id``; parts and shards are numbered in that order.
+    Documents are dealt by ranges of ``doc_id``; parts are numbered in that order, and a shard knows how many
+    ids of its part come before it.
 
     A null or empty text is the end id alone. Null ids come first, rows with the same id stand together. A table
     without rows gives files without rows. Columns other than ``doc_id`` and ``text`` are ignored.
     """
     spark = docs.sparkSession
     tokens = written(token_table(docs, tokenizer, end_id), "token-ids")
-    # as many rows as the vocabulary has at most
-    counted = count_ids(tokens).toPandas().sort_values("id")
-    ids, counts = counted["id"].to_numpy(np.int64), counted["n"].to_numpy(np.int64)
-    lengths = code_lengths(counts, longest)
+    counts = count_ids(tokens)
+    ids = np.flatnonzero(counts)
+    lengths = code_lengths(counts[ids], longest)
+    wide = len(encoder(tokenizer).last) > 1 << 16 or end_id >= 1 << 16
     shared = spark.sparkContext.broadcast((ids, lengths))
 
     def encode(batches):
-        code, part, shard = Code(*shared.value), TaskContext.get().partitionId(), 0
+        code, part, first = Code(*shared.value), TaskContext.get().partitionId(), 0
         held: list[tuple[int | None, np.ndarray]] = []
         n = 0
 
@@ -173,7 +190,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, longest:
             bits, checkpoints = code.encode(np.concatenate([x for _, x in held]))
             row = {
                 "part": part,
-                "shard": shard,
+                "first": first,
                 "n_ids": n,
                 "doc_ids": [d for d, _ in held],
                 "doc_tokens": [len(x) for _, x in held],
@@ -184,10 +201,10 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, longest:
 
         for batch in batches:
             for doc, data in zip(batch.column(0), batch.column(1), strict=True):
-                x = np.frombuffer(data.as_buffer(), "<u4")
+                x = np.frombuffer(data.as_buffer(), "<u4" if wide else "<u2")
                 if held and n + len(x) > SHARD_IDS:
                     yield out()
-                    held, n, shard = [], 0, shard + 1
+                    held, n, first = [], 0, first + n
                 held.append((doc.as_py(), x))
                 n += len(x)
         if held:
@@ -196,7 +213,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, longest:
     arrow = pa.schema(
         [
             ("part", pa.int32()),
-            ("shard", pa.int32()),
+            ("first", pa.int64()),
             ("n_ids", pa.int64()),
             ("doc_ids", pa.list_(pa.int64())),
             ("doc_tokens", pa.list_(pa.int64())),
@@ -208,7 +225,8 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, longest:
         pa.table({"id": pa.array(ids), "length": pa.array(lengths.astype(np.int64))}),
         "id long, length long",
     ).coalesce(1).write.parquet(f"{path}/codes")
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = tokens.filter("ids is not null").select("doc_id", "ids")
+    ordered = ordered.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     ordered.mapInArrow(encode, SHARDS).write.parquet(f"{path}/shards")
 
 
@@ -222,11 +240,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
-    local = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    places = shards.select("part", "shard", F.coalesce(F.sum("n_ids").over(local), F.lit(0)).alias("shard_start"))
-    places = places.join(F.broadcast(parts), "part").select(
-        "part", "shard", (F.col("part_start") + F.col("shard_start")).alias("first")
-    )
+    shards = shards.join(F.broadcast(parts), "part").withColumn("first", F.col("part_start") + F.col("first"))
 
     def decode(batches):
         code = Code(*shared.value)
@@ -244,7 +258,6 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "ids"],
                 )
 
-    whole = shards.join(places, ["part", "shard"])
-    return whole.select("n_ids", "doc_ids", "doc_tokens", "checkpoints", "bits", "first").mapInArrow(
+    return shards.select("n_ids", "doc_ids", "doc_tokens", "checkpoints", "bits", "first").mapInArrow(
         decode, "doc_id long, start long, ids binary"
     )
