@@ -20,6 +20,7 @@ from loadgrain.llm.repeats import (
     mix,
     one_key,
     repeated,
+    texts_of,
     with_ranges,
 )
 from loadgrain.llm.suffixes import UNITS
@@ -106,37 +107,37 @@ def remove_repeated_passages(docs: DataFrame, window: int = 35, q: int = 15) ->
     Null, empty and blank texts have no words and nothing removed. Rows of the same or null ``doc_id`` are
     documents of their own. An empty table gives no rows. Other columns are ignored.
     """
-    if not 0 < q <= window:
-        raise ValueError("q must lie between 1 and window")
+    if not 0 < q <= window <= q + 255:
+        raise ValueError("q must lie between 1 and window, and at most 255 below it")
 
     def sample(batches):
         for batch in steps(batches):
             units, starts, *_ = word_hashes(batch.column(1))
             key = batch.column(0).to_numpy()
-            seg, first, last, bucket, kind = anchor_runs(Hashes(units), starts, window, q)
-            yield batch_rows(key[seg], first - starts[seg], last - starts[seg], bucket, kind, earliest=False)
+            seg, first, last, bucket, kind, right = anchor_runs(Hashes(units), starts, window, q)
+            yield batch_rows(key[seg], first - starts[seg], last - starts[seg], bucket, kind, right, earliest=False)
 
     def single_edges(batches):
         half = window // 2
-        for batch in steps(batches):
-            units, starts, *_ = word_hashes(batch.column(1))
+        for batch in texts_of(batches):
+            units, starts, *_ = word_hashes(batch.column(2))
             if len(units) < window:
                 continue
             hashes = Hashes(units)
-            low, count = flat_lists(batch.column(2))
-            high, _ = flat_lists(batch.column(3))
+            low, count = flat_lists(batch.column(3))
+            high, _ = flat_lists(batch.column(4))
             size = high - low + 1
             doc = np.repeat(np.repeat(np.arange(len(count)), count), size)
             place = np.repeat(low, size) + runs(size)
             at = starts[doc] + place
             here, there = hashes.stretch(at, at + half), hashes.stretch(at + half, at + window)
-            yield batch_rows(batch.column(0).to_numpy()[doc], place, place, mix(here), mix(there), earliest=False)
+            yield batch_rows(batch.column(0).to_numpy()[doc], place, place, mix(here), mix(there), None, earliest=False)
 
     def cut(batches):
-        for batch in steps(batches):
-            _, starts, data, begins, ends = word_hashes(batch.column(1))
-            low, count = flat_lists(batch.column(2))
-            high, _ = flat_lists(batch.column(3))
+        for batch in texts_of(batches):
+            _, starts, data, begins, ends = word_hashes(batch.column(2))
+            low, count = flat_lists(batch.column(3))
+            high, _ = flat_lists(batch.column(4))
             base = np.repeat(starts[:-1], count)
             gone = covered(len(begins), base + low, base + high + window)
             keep = np.repeat(~gone, ends - begins + 1)  # with the blank after each word
@@ -146,7 +147,7 @@ def remove_repeated_passages(docs: DataFrame, window: int = 35, q: int = 15) ->
             lost = np.concatenate([[0], np.cumsum(gone)])[starts]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    batch.column(1),
                     pa.array(np.diff(starts).astype(np.int64)),
                     pa.array(np.diff(lost).astype(np.int64)),
                     pa.array(kept, pa.binary()),
@@ -154,13 +155,12 @@ def remove_repeated_passages(docs: DataFrame, window: int = 35, q: int = 15) ->
                 names=["doc_id", "n_words", "n_removed", "kept"],
             )
 
-    docs = one_key(docs, "passage-documents")
-    texts = docs.select("key", "text")
-    found = written(repeated(texts.mapInArrow(sample, ROWS), earliest=False, apart=True), "passage-runs")
-    branching = with_ranges(texts, found.filter("task = 1"), "inner").select("key", "text", "low", "high")
+    docs = one_key(docs.select(F.col("doc_id").cast("long"), "text"), "passage-documents")
+    found = written(repeated(docs.select("key", "text").mapInArrow(sample, ROWS), earliest=False, apart=True), "passage-runs")
+    branching = with_ranges(docs, found.filter("task = 1"), "inner")
     single = repeated(branching.mapInArrow(single_edges, ROWS), earliest=False, apart=False)
     columns = ["key", "low", "high", "edge"]
     edges = found.filter("task = 0").select(columns).union(single.select(columns))
     edges = written(edges, "passage-edges")
-    whole = with_ranges(docs, compact(edges, "passage-paths"), "left").select("doc_id", "text", "low", "high")
+    whole = with_ranges(docs, compact(edges, "passage-paths"), "left")
     return whole.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept binary")
