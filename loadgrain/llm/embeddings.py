@@ -113,7 +113,14 @@ def _spread(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def compare_bucket(
-    filter_id: int, cid: np.ndarray, copies: np.ndarray, x: np.ndarray, chunk: np.ndarray | None, least: float, words: int
+    filter_id: int,
+    cid: np.ndarray,
+    copies: np.ndarray,
+    x: np.ndarray,
+    chunk: np.ndarray | None,
+    least: float,
+    words: int,
+    block: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of the vectors ``x`` that exceed one filter: links that connect the near ones, and counts of near ones.
 
@@ -123,7 +130,7 @@ def compare_bucket(
     """
     norm = np.sqrt((x * x).sum(axis=1))
     parts = [np.arange(len(x))] if chunk is None else [np.flatnonzero(chunk == c) for c in np.unique(chunk)]
-    cuts = [[p[at : at + BLOCK] for at in range(0, len(p), BLOCK)] for p in parts]
+    cuts = [[p[at : at + block] for at in range(0, len(p), block)] for p in parts]
     if len(parts) == 2:
         pairs = [(a, b) for a in cuts[0] for b in cuts[1]]
     else:
@@ -185,7 +192,7 @@ def cap_filter_links(classes: DataFrame, least: float, bucket_rows: int = BUCKET
     near ``a``, copies counted; each near pair counts once over all rows.
     """
     n = classes.count()
-    words = code_size(n)
+    words, block = code_size(n), BLOCK
 
     def replicate(batches):
         for batch in batches:
@@ -221,7 +228,7 @@ def cap_filter_links(classes: DataFrame, least: float, bucket_rows: int = BUCKET
                 if split is not None and len(np.unique(split)) < 2:
                     continue
                 a, b, own, more = compare_bucket(
-                    int(filters[begin]), cid[begin:end], copies[begin:end], x, split, least, words
+                    int(filters[begin]), cid[begin:end], copies[begin:end], x, split, least, words, block
                 )
                 if len(a):
                     yield pa.RecordBatch.from_arrays(

@@ -11,6 +11,7 @@ from loadgrain.llm.huffman import read_ids, write_ids
 from loadgrain.llm.langid import identify, train_language_model
 from loadgrain.llm.packing import pack_powers_of_two
 from loadgrain.llm.passages import remove_repeated_passages
+from loadgrain.llm.pii import BASE_KINDS, find_personal_data
 from loadgrain.llm.secret_scan import as_text, find_secrets
 from loadgrain.llm.simhash import simhash_components
 from loadgrain.llm.suffixes import remove_repeated_bytes
@@ -109,6 +110,20 @@ def suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in BASE_KINDS),
+        F.sha2(as_text(F.col("base")), 256).alias("base_sha256"),
+        as_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_template_leaks": template_leaks,
     "op2_huffman_ids": huffman_ids,
@@ -118,6 +133,7 @@ QUERIES = {
     "op6_pack_powers_of_two": pack,
     "op7_de_bruijn": passages,
     "op8_spherical_caps": spherical_caps,
+    "op9_crf_pii": personal_data,
     "op10_bucket_pointers": suffixes,
 }
 ORACLE: dict[str, str] = {}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from loadgrain.llm.buckets import split_hot, whole_buckets
 from loadgrain.llm.common import steps, written
 from loadgrain.llm.components import components, roots
+from loadgrain.llm.repeats import one_key
 from loadgrain.llm.words import joined_words
 
 # blocks of bits as (bits, radius of the Hamming code's check bits or 0 for all words, differing bits)
@@ -206,3 +207,11 @@ def simhash_components(docs: DataFrame, most: int = 4, blocks: tuple | None = No
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = classes.join(smallest, "root").select("fingerprint", "component_id")
     return prints.join(classes, "fingerprint").select("doc_id", "fingerprint", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
+    """The columns of ``docs``, with one row of each component: that with the smallest ``doc_id``, then text."""
+    keyed = one_key(docs, "simhash-documents")
+    found = simhash_components(keyed.select(F.col("key").alias("doc_id"), "text"), most)
+    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("key"))
+    return keyed.join(kept, "key", "left_semi").select(*docs.columns)
