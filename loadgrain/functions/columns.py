@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,6 +57,23 @@ def interval(text: str) -> Column:
     return F.expr(f"INTERVAL '{text}'")
 
 
+def grid_start(spark: SparkSession, moment: str, every: str, kind: T.DataType) -> Column:
+    """Start of the bucket of ``every`` that holds ``moment``; buckets are aligned with 1970.
+
+    A moment for TIMESTAMP is read in the session time zone unless it names one, and buckets are aligned in UTC.
+    """
+    at = pd.Timestamp(moment)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.lit(str(_floored(at.tz_localize(None), every))).cast(kind)
+    at = at.tz_localize(spark.conf.get("spark.sql.session.timeZone")) if at.tzinfo is None else at
+    at = _floored(at.tz_convert("UTC").tz_localize(None), every)
+    return F.timestamp_micros(F.lit((at - pd.Timestamp(0)) // pd.Timedelta(microseconds=1)))
+
+
+def _floored(at: pd.Timestamp, every: str) -> pd.Timestamp:
+    return at - (at - pd.Timestamp(0)) % pd.Timedelta(every)
+
+
 def seconds(text: str) -> float:
     """Length of a duration such as ``6 hours``."""
     return pd.Timedelta(text).total_seconds()

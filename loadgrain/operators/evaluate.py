@@ -10,8 +10,8 @@ from loadgrain.functions.quantile import exact_quantile
 from loadgrain.plans.small import pin_small
 
 SETS = ("train", "val", "test")
-# models are told apart by the bits of a bigint
-MAX_MODELS = 62
+# models are told apart by the bits of bigints
+WORD_BITS = 62
 
 
 def split(
@@ -20,10 +20,16 @@ def split(
     """Assign whole entities to train, validation and test.
 
     The set depends on the entity's id and the seed only, so it stays the same under any
-    partitioning and no entity is in two sets.
+    partitioning and no entity is in two sets. Fractions add up to 1; whole hundredths take 100 buckets,
+    finer ones as many as they need, up to 100 million.
     """
-    cut1, cut2 = round(fractions[0] * 100), round((fractions[0] + fractions[1]) * 100)
-    bucket = hash_bucket(seed, *by)
+    if min(fractions) < 0 or abs(sum(fractions) - 1) > 1e-9:
+        raise ValueError("fractions must be positive and add up to 1")
+    buckets = 100
+    while buckets < 100_000_000 and any(abs(f * buckets - round(f * buckets)) > 1e-9 * buckets for f in fractions):
+        buckets *= 10
+    cut1, cut2 = round(fractions[0] * buckets), round((fractions[0] + fractions[1]) * buckets)
+    bucket = hash_bucket(seed, *by, buckets=buckets)
     return df.withColumn("set", F.when(bucket < cut1, SETS[0]).when(bucket < cut2, SETS[1]).otherwise(SETS[2]))
 
 
@@ -94,31 +100,44 @@ def compare_models(preds: DataFrame, keys: list[str], models: list[str] | None =
     """Metrics per model on the keys that every model predicted, ranked by RMSE, ties by name.
 
     ``models`` names the models, which spares finding them in the predictions. ``dropped`` counts
-    the predictions of each model whose key some other model lacks.
+    the predictions of each model whose key some other model lacks; ``dropped_keys`` lists them. A model
+    without a row to be scored on ranks last.
     """
+    marked = _mark_common(preds, keys, models)
+    on_common = F.col("_common").isNotNull()
+    scored = marked.groupBy("model").agg(
+        *metric_columns(F.when(on_common, F.col("actual")), F.when(on_common, F.col("predicted"))),
+        F.count(F.when(~on_common, True)).alias("dropped"),
+    )
+    # one row per model
+    return scored.withColumn("rank", F.rank().over(Window.orderBy(F.asc_nulls_last("rmse"), "model")))
+
+
+def dropped_keys(preds: DataFrame, keys: list[str], models: list[str] | None = None) -> DataFrame:
+    """The model and key of each prediction that ``compare_models`` leaves out because some other model lacks the key."""
+    return _mark_common(preds, keys, models).filter(F.col("_common").isNull()).select("model", *keys)
+
+
+def _mark_common(preds: DataFrame, keys: list[str], models: list[str] | None) -> DataFrame:
+    """Predictions with ``_common``, true where every model predicted the key and null elsewhere."""
     made = preds.filter(F.col("predicted").isNotNull())
     if models is None:
-        models = [r[0] for r in made.select("model").distinct().limit(MAX_MODELS + 1).collect()]
+        models = [r[0] for r in made.select("model").distinct().collect()]
     else:
         models = list(dict.fromkeys(models))
         made = made.filter(F.col("model").isin(*models))
-    if len(models) > MAX_MODELS:
-        raise ValueError(f"more than {MAX_MODELS} models")
     # one bit per model, combined before the shuffle
     names = F.array(*[F.lit(m) for m in models]).cast("array<string>")
     place = (F.array_position(names, F.col("model")) - 1).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place)
-    seen = made.groupBy(*keys).agg(F.bit_or(bit).alias("_seen"))
-    everyone = F.lit((1 << len(models)) - 1).cast("bigint")
-    common = seen.filter(F.col("_seen") == everyone).select(*keys, F.lit(True).alias("_common"))
-    marked = join_null_safe(made, common, keys, "left")
-    on_common = F.col("_common").isNotNull()
-    scored = marked.groupBy("model").agg(
-        *metric_columns(F.when(on_common, F.col("actual")), F.when(on_common, F.col("predicted"))),
-        F.count(F.when(~on_common, True)).alias("dropped"),
-    )
-    # one row per model
-    return scored.withColumn("rank", F.rank().over(Window.orderBy("rmse", "model")))
+    words, everyone = [], F.lit(True)
+    for i, first in enumerate(range(0, max(len(models), 1), WORD_BITS)):
+        n = min(WORD_BITS, len(models) - first)
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), place - first)
+        words.append(F.bit_or(F.when(place.between(first, first + n - 1), bit).otherwise(F.lit(0).cast("bigint"))).alias(f"_w{i}"))
+        everyone = everyone & (F.col(f"_w{i}") == F.lit((1 << n) - 1).cast("bigint"))
+    seen = made.groupBy(*keys).agg(*words)
+    common = seen.filter(everyone).select(*keys, F.lit(True).alias("_common"))
+    return join_null_safe(made, common, keys, "left")
 
 
 def ablation(
@@ -127,12 +146,20 @@ def ablation(
     variant: str = "variant",
     values: tuple[str, ...] = ("mae", "rmse", "r2"),
 ) -> DataFrame:
-    """Difference of each variant's metrics to the baseline's, absolute and relative."""
-    base = results.filter(F.col(variant) == baseline)
-    # one scalar per metric; results has one row per variant
-    of_base = {f"_{v}": base.select(v).scalar() for v in values}
+    """Difference of each variant's metrics to the baseline's, absolute and relative.
+
+    An unknown baseline, or one that stands for several rows, ends the job with an error.
+    """
+    # one scalar with all metrics; results has one row per variant
+    base = results.filter(F.col(variant) == baseline).agg(
+        F.when(F.count(F.lit(1)) == 1, F.first(F.struct(*values))).otherwise(
+            F.raise_error(F.concat(F.lit(f"rows of baseline {baseline}: "), F.count(F.lit(1)).cast("string")))
+        )
+    )
+    results = results.withColumn("_base", base.scalar())
+    of_base = {f"_{v}": F.col(f"_base.{v}") for v in values}
     deltas = {}
     for v in values:
         deltas[f"{v}_delta"] = F.col(v) - F.col(f"_{v}")
         deltas[f"{v}_relative"] = (F.col(v) - F.col(f"_{v}")) / F.nullif(F.abs(F.col(f"_{v}")), F.lit(0.0))
-    return results.withColumns(of_base).withColumns(deltas).drop(*of_base)
+    return results.withColumns(of_base).withColumns(deltas).drop("_base", *of_base)

@@ -24,6 +24,9 @@ def overlap_pairs(
 ) -> DataFrame:
     """Pairs of intervals of one key that overlap; touching ones do not.
 
+    An interval that ends before it starts, or lacks an end, has no place among the pairs and ends the job
+    with an error; ``invalid_intervals`` finds such rows.
+
     The later start of an overlapping pair lies inside the other interval. So each interval is
     looked up in the bin of its start only, among the intervals that cover that bin, which
     finds every pair once. Bins are as long as an interval or hold some dozens of starts of an
@@ -31,7 +34,8 @@ def overlap_pairs(
     compared.
     """
     s, e = epoch_seconds(iv, start), epoch_seconds(iv, end)
-    valid = iv.filter(F.col(start) <= F.col(end)).select(
+    invalid = F.raise_error(F.concat(F.lit("invalid interval "), F.coalesce(F.col(interval_id).cast("string"), F.lit("null"))))
+    valid = iv.filter(F.when(F.col(start) <= F.col(end), F.lit(True)).otherwise(invalid.cast("boolean"))).select(
         *key,
         F.col(interval_id).alias("_id"),
         F.col(start).alias("_start"),
@@ -91,6 +95,11 @@ def overlap_pairs(
     )
 
 
+def invalid_intervals(iv: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """Intervals without a start or end, or with the end before the start."""
+    return iv.filter(~F.coalesce(F.col(start) <= F.col(end), F.lit(False)))
+
+
 def _bin_seconds(valid: DataFrame, key: list[str]) -> int:
     row = valid.agg(
         F.count(F.lit(1)).alias("n"),

@@ -37,7 +37,8 @@ def detect_events(
 ) -> DataFrame:
     """Readings that differ from the one before by at least ``threshold``, as rise or fall.
 
-    ``tie`` orders readings of the same timestamp.
+    A null reading has no step, and neither has the reading after it: a change that falls into a gap is not
+    dated. Filter nulls out first to compare across them. ``stream_events`` does the same. ``tie`` orders readings of the same timestamp.
     """
     steps = _with_steps(df, keys, ts, power, tie).finish()
     return (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import itertools
+import math
 import random
 from collections.abc import Callable, Iterator
 
@@ -85,15 +85,17 @@ def search(
     set, best first. The driver holds parameters and scores only.
     """
     spark = df.sparkSession
-    sets = [dict(zip(grid, combo, strict=True)) for combo in itertools.product(*grid.values())]
-    if n_random is not None:
-        sets = random.Random(seed).sample(sets, min(n_random, len(sets)))
+    total = math.prod(len(values) for values in grid.values())
+    places = range(total) if n_random is None else random.Random(seed).sample(range(total), min(n_random, total))
+    sets = [_nth(grid, place) for place in places]
     train = df.filter(F.col("set") == "train").select(*features, y).persist()
     scored = df.filter(F.col("set") == "val").select(*features, y)
-    for i, params in enumerate(sets):
-        model = estimator(train, y, features, **params)
-        scored = predict(model, scored, features).withColumnRenamed("predicted", f"_p{i}")
-    train.unpersist()
+    try:
+        for i, params in enumerate(sets):
+            model = estimator(train, y, features, **params)
+            scored = predict(model, scored, features).withColumnRenamed("predicted", f"_p{i}")
+    finally:
+        train.unpersist()
     # one pass over the validation rows scores every set
     row = scored.agg(
         *[F.struct(*metric_columns(F.col(y), F.col(f"_p{i}"))).alias(f"_m{i}") for i in range(len(sets))]
@@ -105,10 +107,19 @@ def search(
     table = spark.createDataFrame(
         results, "params map<string,string>, n bigint, mae double, rmse double, r2 double"
     )
-    best_first = F.desc(metric) if metric == "r2" else F.asc(metric)
+    best_first = F.desc_nulls_last(metric) if metric == "r2" else F.asc_nulls_last(metric)
     return table.select(F.to_json("params").alias("params"), "n", "mae", "rmse", "r2").orderBy(best_first, "params")
 
 
+def _nth(grid: dict[str, list], place: int) -> dict:
+    """The parameter set at a place in the order of ``itertools.product``, without listing those before it."""
+    out = {}
+    for name in reversed(grid):
+        place, i = divmod(place, len(grid[name]))
+        out[name] = grid[name][i]
+    return {name: out[name] for name in grid}
+
+
 def _complete(features: list[str]) -> Column:
     ok = F.lit(True)
     for f in features:

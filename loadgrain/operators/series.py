@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loadgrain.functions.columns import interval, seconds
+from loadgrain.functions.columns import grid_start, interval, seconds
 from loadgrain.plans.series_split import Series, series_rows, split_series
 
 
@@ -21,9 +21,9 @@ def resample(
     ts: str = "ts",
     value: str = "power",
 ) -> DataFrame:
-    """One row per key and bucket from ``start`` to ``end``, both included.
+    """One row per key and bucket from that of ``start`` to that of ``end``, both included.
 
-    Buckets are aligned with 1970. ``fill`` is ``none``, ``forward`` or ``zero``; nulls before
+    Buckets are aligned with 1970; a ``start`` or ``end`` within a bucket stands for the whole bucket. ``fill`` is ``none``, ``forward`` or ``zero``; nulls before
     the first value stay null under ``forward``. ``observed`` tells whether the bucket had
     values; null readings count as missing. Each bucket with readings also writes out the empty ones before it, so there is
     no join with a grid and only as many sorted rows as buckets with readings.
@@ -32,7 +32,7 @@ def resample(
         raise ValueError(f"unknown fill {fill!r}")
     step = interval(every)
     kind = df.schema[ts].dataType
-    first, last = F.lit(start).cast(kind), F.lit(end).cast(kind)
+    first, last = (grid_start(df.sparkSession, moment, every, kind) for moment in (start, end))
     bucket = F.window(ts, every)["start"].cast(kind)
     # a key without a value in the range still gets its rows, hence the null bucket
     inside = df.select(*keys, bucket.alias("_b"), value).withColumn(
@@ -42,7 +42,7 @@ def resample(
 
     known = buckets.filter(F.col("_b").isNotNull())
     # the range bounds how many buckets a series can have
-    most = (pd.Timestamp(end) - pd.Timestamp(start)).total_seconds() / seconds(every) + 1
+    most = (pd.Timestamp(end) - pd.Timestamp(start)).total_seconds() / seconds(every) + 2
     series = Series(known, tuple(keys), False) if most <= series_rows(df) else split_series(known, keys, "_b")
     series = series.with_lookback(["_b"], ["_v"], 1)
     w = series.window(["_b"])

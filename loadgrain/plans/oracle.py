@@ -103,13 +103,14 @@ sets AS (
 WATERMARK = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 
-def _resample(value: str) -> str:
+def _resample(value: str, every: str = "1 DAY") -> str:
+    bucket = f"time_bucket(INTERVAL {every}, {{}}, TIMESTAMP '1970-01-01')"
     return f"""WITH {READINGS},
         g AS (
-            SELECT user_id, unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30', INTERVAL 1 DAY))
-                   AS bucket
-            FROM (SELECT DISTINCT user_id FROM r)),
-        d AS (SELECT user_id, date_trunc('day', ts)::TIMESTAMP AS bucket, avg(power) AS v FROM r GROUP BY ALL),
+            SELECT user_id, unnest(generate_series(lo, hi, INTERVAL {every})) AS bucket
+            FROM (SELECT DISTINCT user_id FROM r),
+                 (SELECT {bucket.format("min(ts)")} AS lo, {bucket.format("max(ts)")} AS hi FROM r)),
+        d AS (SELECT user_id, {bucket.format("ts")} AS bucket, avg(power) AS v FROM r GROUP BY ALL),
         j AS (SELECT g.user_id, g.bucket, d.v FROM g LEFT JOIN d USING (user_id, bucket))
         SELECT user_id, bucket, round({value}, 6) AS value, v IS NOT NULL AS observed FROM j"""
 
@@ -117,7 +118,7 @@ def _resample(value: str) -> str:
 def _windows(keys: str, starts: str, size: str, extra: str = "") -> str:
     return f"""WITH {READINGS}, x AS (SELECT *, {starts} AS window_start FROM r)
         SELECT {keys} window_start, window_start + INTERVAL {size} AS window_end, count(*) AS n,
-               round(sum(power), 6) AS sum, round(round(sum(power), 6) / count(*), 6) AS mean, min(power) AS min, max(power) AS max
+               round(sum(power), 6) AS sum, round(avg(power) + 1e-9, 6) AS mean, min(power) AS min, max(power) AS max
         FROM x GROUP BY {keys} window_start {extra}"""
 
 
@@ -168,10 +169,13 @@ ORACLE: dict[str, str] = {
     ),
     "resample_zero": _resample("coalesce(v, 0.0)"),
     "resample_none": _resample("v"),
+    "resample_offset": _resample("coalesce(v, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY bucket"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))", "10 HOUR"),
+    "resample_weekly": _resample("coalesce(v, 0.0)", "7 DAY"),
     "rollup_granularity": f"""WITH {READINGS}
         SELECT CASE grouping(user_id, terminal_id) WHEN 0 THEN 'terminal_id' WHEN 1 THEN 'user_id' ELSE 'total' END
                    AS level,
-               user_id, terminal_id, round(sum(power), 6) AS sum, round(round(sum(power), 6) / count(*), 6) AS mean, count(*) AS n
+               user_id, terminal_id, round(sum(power), 6) AS sum, round(avg(power) + 1e-9, 6) AS mean, count(*) AS n
         FROM r GROUP BY ROLLUP (user_id, terminal_id)""",
     "row_windows": f"""WITH {ROW_WINDOWS}
         SELECT user_id, window_no, start_ts,
@@ -312,6 +316,8 @@ ORACLE: dict[str, str] = {
         SELECT model, n, round(mae, 6) AS mae, round(rmse, 6) AS rmse, round(r2, 6) AS r2,
                coalesce(dropped, 0) AS dropped, CAST(rank() OVER (ORDER BY rmse, model) AS INTEGER) AS rank
         FROM kept LEFT JOIN lost USING (model)""",
+    "compare_dropped": f"""WITH {COMPARED}
+        SELECT model, user_id, ts FROM q ANTI JOIN seen USING (user_id, ts)""",
     "ablation": f"""WITH {COMPARED}, b AS (SELECT * FROM kept WHERE model = 'running')
         SELECT k.model AS variant, round(k.mae, 6) AS mae, round(k.rmse, 6) AS rmse, round(k.r2, 6) AS r2,
                round(k.mae - b.mae, 6) AS mae_delta, round((k.mae - b.mae) / nullif(abs(b.mae), 0), 6) AS mae_relative,

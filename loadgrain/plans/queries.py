@@ -90,24 +90,24 @@ def disaggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # series
 
 
-def resample_query(fill: str) -> Callable[[SparkSession, str], DataFrame]:
+def resample_query(fill: str, every: str = "1 day") -> Callable[[SparkSession, str], DataFrame]:
+    """A grid over the whole time of the readings."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        grid = series.resample(
-            fx.readings(spark, sf_dir), USER, "1 day", "2024-01-01 00:00:00", "2024-01-30 00:00:00", fill=fill
-        )
-        return rounded(grid, "value")
+        rows = fx.readings(spark, sf_dir)
+        first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+        return rounded(series.resample(rows, USER, every, str(first), str(last), fill=fill), "value")
 
     return query
 
 
 def rollup_granularity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = series.rollup_granularity(fx.readings(spark, sf_dir), ["user_id", "terminal_id"])
-    return _mean_of_rounded_sum(levels)
+    return _settled(series.rollup_granularity(fx.readings(spark, sf_dir), ["user_id", "terminal_id"]))
 
 
-def _mean_of_rounded_sum(df: DataFrame) -> DataFrame:
-    """Means of the rounded sums: a sum's last digits depend on the order of adding."""
-    return rounded(df, "sum").withColumn("mean", r6(F.col("sum") / F.col("n")))
+def _settled(df: DataFrame) -> DataFrame:
+    """Sums and means rounded; a mean half-way between two roundings goes up, whatever its last digits are."""
+    return rounded(df, "sum").withColumn("mean", r6(F.col("mean") + 1e-9))
 
 
 def row_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,11 +117,11 @@ def row_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def time_windows_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mean_of_rounded_sum(windows.time_windows(fx.readings(spark, sf_dir), USER, "1 hour"))
+    return _settled(windows.time_windows(fx.readings(spark, sf_dir), USER, "1 hour"))
 
 
 def time_windows_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _mean_of_rounded_sum(windows.time_windows(fx.readings(spark, sf_dir), [], "1 day", "6 hours"))
+    return _settled(windows.time_windows(fx.readings(spark, sf_dir), [], "1 day", "6 hours"))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,8 +183,8 @@ def _csv_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     )
     orders = (["event_id", "user_id", "ts", "power"], ["power", "ts", "event_id", "user_id"])
     for i, order in enumerate(orders):
-        part = rows.filter(F.col("event_id") % 2 == i).select(*order, "batch").repartition("batch")
-        part.write.partitionBy("batch").option("header", True).csv(f"{folder}/layout{i}")
+        part = rows.filter(F.col("event_id") % 2 == i).select(*order, "batch")
+        part.hint("rebalance", F.col("batch")).write.partitionBy("batch").option("header", True).csv(f"{folder}/layout{i}")
     return read_batches(
         spark,
         [f"{folder}/layout{i}" for i in range(len(orders))],
@@ -207,7 +207,7 @@ def stored_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "readings")
     rows = fx.readings(spark, sf_dir).select("user_id", "event_id", "ts", "power")
     write_readings(rows, folder, USER)
-    return read_readings(spark, folder, "2024-01-01", "2024-01-31")
+    return read_readings(spark, folder)
 
 
 # scaling
@@ -324,6 +324,10 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_compared(spark, sf_dir), "mae", "rmse", "r2")
 
 
+def compare_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evaluate.dropped_keys(_predictions(spark, sf_dir), ["user_id", "ts"], list(MODELS))
+
+
 def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = _compared(spark, sf_dir).select(F.col("model").alias("variant"), "mae", "rmse", "r2")
     deltas = evaluate.ablation(results, "running")
@@ -368,7 +372,8 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    stream = stream_readings(spark, sf_dir, schema, ["user_id", "event_type"], "1 hour", file_filter="events.parquet")
+    # the table may be a file or a folder of part files
+    stream = stream_readings(spark, f"{sf_dir}/events.parquet*", schema, ["user_id", "event_type"], "1 hour")
     return fx.as_readings(stream)
 
 
@@ -403,6 +408,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "resample_forward": resample_query("forward"),
     "resample_zero": resample_query("zero"),
     "resample_none": resample_query("none"),
+    "resample_offset": resample_query("forward", "10 hours"),
+    "resample_weekly": resample_query("zero", "7 days"),
     "rollup_granularity": rollup_granularity,
     "row_windows": row_windows,
     "time_windows_hourly": time_windows_hourly,
@@ -432,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "robust_metrics": robust_metrics,
     "robust_metrics_per_model": robust_metrics_per_model,
     "compare_models": compare_models,
+    "compare_dropped": compare_dropped,
     "ablation": ablation,
     "stream_readings": stream_readings_query,
     "stream_windows_hourly": stream_windows_query(size="1 hour"),

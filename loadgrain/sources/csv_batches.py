@@ -27,13 +27,14 @@ def read_batches(
     Columns are taken by the header of each file, whatever their order. ``name_pattern`` is a
     regular expression searched in the file path; its groups become ``name_columns``. A row
     is rejected, not dropped, when a value does not fit its type, when it has too many or
-    too few values, or when its file has no header; the rejected rows keep the text of their
-    values and the reason.
+    too few values, or when its file has no header or headers in different orders; the rejected rows keep
+    their text and the reason. A header that is repeated within a file is not a row.
 
     Finding the headers reads the files once more. ``column_order`` spares that if all files have
     their columns in one order. ``options`` go to the CSV reader, such as ``sep`` or ``encoding``.
     """
     names = [f.name for f in schema.fields]
+    separator = next((v for k, v in (options or {}).items() if k.lower() in ("sep", "delimiter")), ",")
     cells = [f"_c{i}" for i in range(len(names))]
     raw_schema = T.StructType([T.StructField(c, T.StringType()) for c in [*cells, RAW]])
     cell = lambda c: F.trim(F.regexp_replace(c, "^\ufeff", ""))
@@ -54,10 +55,12 @@ def read_batches(
     is_header = F.coalesce(is_header, F.lit(False))
     body = raw.filter(~is_header)
     if column_order:
-        body = body.withColumn("_header", F.array(*[F.lit(n) for n in column_order]))
+        body = body.withColumn("_header", F.array(*[F.lit(n) for n in column_order])).withColumn("_mixed", F.lit(False))
     else:
         # the order of the columns, one row per file
-        headers = raw.filter(is_header).groupBy("source_file").agg(F.min(F.transform("_cells", cell)).alias("_header"))
+        header = F.transform("_cells", cell)
+        headers = raw.filter(is_header).groupBy("source_file")
+        headers = headers.agg(F.min(header).alias("_header"), (F.min(header) != F.max(header)).alias("_mixed"))
         # broadcast if the files are few; otherwise a huge file is split as a skewed join
         body = join_null_safe(body, pin_small(headers, 100_000)[0], ["source_file"], "left")
 
@@ -66,8 +69,10 @@ def read_batches(
         *[F.regexp_extract("source_file", name_pattern, i + 1).alias(c) for i, c in enumerate(name_columns)],
         "source_file",
         *[_parse(f, text[f.name], timestamp_format).alias(f.name) for f in schema.fields],
-        F.concat_ws(",", F.transform("_cells", lambda c: F.coalesce(c, F.lit("")))).alias("raw"),
+        # the reader keeps the text of a record that does not fit; the cells of others are all there is
+        F.coalesce(RAW, F.concat_ws(separator, F.transform("_cells", lambda c: F.coalesce(c, F.lit(""))))).alias("raw"),
         F.when(F.col("_header").isNull(), "no header")
+        .when(F.col("_mixed"), "several headers")
         .when(F.col(RAW).isNotNull(), "number of values")
         .when(
             F.array_contains(
