@@ -122,8 +122,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def shape(word: str) -> str:
     """Capitals become X, small letters x, digits d; runs longer than three are cut to three."""
-    s = re.sub(r"[^\W\d_]", lambda m: "X" if m[0].isupper() else "x", re.sub(r"\d", "d", word).replace("d", "\0"))
-    s = s.replace("\0", "d")
+    s = "".join("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c for c in word)
     return re.sub(r"(.)\1{3,}", r"\1\1\1", s)
 
 
@@ -291,8 +290,8 @@ class Tagger:
 
     def __init__(self, model: Crf):
         self.model = model
-        names = sorted({f[3:] for f in model.sides} - {"edge", "x"})
-        self.codes = {"edge": 0, "x": 1} | {f: i for i, f in enumerate(names, 2)}
+        names = sorted({f[3:] for f in model.sides} - {"edge"})
+        self.codes = {f: i for i, f in enumerate(["edge", "never seen", *names])}
         zero = np.zeros(len(LABELS))
         self.sides = [
             np.array([model.sides.get(f"{place}:{f}", zero) for f in self.codes]) for place in ("-2", "-1", "+1")
