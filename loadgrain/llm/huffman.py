@@ -16,7 +16,7 @@ from loadgrain.llm.tokens import encoder, with_end
 # symbols of a block: each block can be decoded from its checkpoint alone
 BLOCK = 128
 # ids of a shard, a row of the file; a longer document is a shard of its own
-SHARD_IDS = 500_000
+SHARD_IDS = 200_000
 SHARDS = T.StructType(
     [
         T.StructField("part", T.IntegerType()),

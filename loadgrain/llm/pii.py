@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import itertools
 import re
 from collections.abc import Iterator
@@ -361,6 +362,18 @@ class Tagger:
         return out
 
 
+def apart(spans: list[tuple[int, int, int]], others: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The spans that none of the others, sorted by start, overlaps."""
+    starts = [a for a, _, _ in others]
+    reach = list(itertools.accumulate((b for _, _, b in others), max))
+    out = []
+    for span in spans:
+        i = bisect.bisect_left(starts, span[2])
+        if not i or reach[i - 1] <= span[0]:
+            out.append(span)
+    return out
+
+
 SPANS = "array<struct<start:long,rank:int,end:long,kind:string>>"
 
 
@@ -391,10 +404,7 @@ def find_personal_data(docs: DataFrame, labelled: str = LABELLED) -> DataFrame:
             texts = [t or "" for t in batch.column(at).to_pylist()]
             base = [base_spans(t) for t in texts]
             more = tagger.spans(texts)
-            more = [
-                [s for s in own if not any(a < s[2] and s[0] < b for a, _, b in found)]
-                for own, found in zip(more, base, strict=True)
-            ]
+            more = [apart(own, found) if own and found else own for own, found in zip(more, base, strict=True)]
             yield batch.append_column("base", listed(base)).append_column("added", listed(more))
 
     spans = pa.list_(

@@ -9,6 +9,7 @@ from loadgrain.llm.common import table
 from loadgrain.llm.embeddings import near_embeddings
 from loadgrain.llm.huffman import read_ids, write_ids
 from loadgrain.llm.langid import identify, train_language_model
+from loadgrain.llm.oracle import ORACLE
 from loadgrain.llm.packing import pack_powers_of_two
 from loadgrain.llm.passages import remove_repeated_passages
 from loadgrain.llm.pii import BASE_KINDS, find_personal_data
@@ -19,6 +20,8 @@ from loadgrain.llm.templates import decontaminate
 from loadgrain.llm.tokens import read_tokenizer
 from loadgrain.plans.scratch import new_folder
 
+__all__ = ["ORACLE", "QUERIES"]
+
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -136,4 +139,3 @@ QUERIES = {
     "op9_crf_pii": personal_data,
     "op10_bucket_pointers": suffixes,
 }
-ORACLE: dict[str, str] = {}

@@ -25,7 +25,7 @@ LETTER[65:91] = LETTER[97:123] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 # words remembered by a worker between batches
-MAX_WORDS = 400_000
+MAX_WORDS = 250_000
 GROUP = 50
 
 _loaded: dict[str, WordEncoder] = {}
