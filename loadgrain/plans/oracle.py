@@ -100,6 +100,39 @@ sets AS (
            CASE WHEN bucket < 70 THEN 'train' WHEN bucket < 85 THEN 'val' ELSE 'test' END AS "set"
     FROM sp)"""
 
+LAG_ROWS = (
+    READINGS
+    + f""",
+{SPLIT},
+x AS (
+    SELECT event_id, power AS y, hour(ts) AS hour, lag(power, 1) OVER w AS x1, lag(power, 2) OVER w AS x2, lag(power, 3) OVER w AS x3
+    FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+lagged AS (SELECT x.*, "set" FROM x JOIN sets USING (event_id)),
+train AS (SELECT * FROM lagged WHERE "set" = 'train' AND y IS NOT NULL AND x1 + x2 + x3 IS NOT NULL)"""
+)
+
+
+def _solved(name: str, intercept: bool) -> str:
+    """Least squares on three lags by Cramer's rule; without an intercept nothing is centred."""
+    of = lambda c: f"({c} - m.{c}m)" if intercept else c
+    pairs = [("x1", "x1"), ("x1", "x2"), ("x1", "x3"), ("x2", "x2"), ("x2", "x3"), ("x3", "x3"), ("x1", "y"), ("x2", "y"), ("x3", "y")]
+    sums = ", ".join(f"sum({of(a)} * {of(b)}) AS {a}{b}" for a, b in pairs)
+    rows = [["x1x1", "x1x2", "x1x3"], ["x1x2", "x2x2", "x2x3"], ["x1x3", "x2x3", "x3x3"]]
+
+    def det(m: list[list[str]]) -> str:
+        (a, b, c), (d, e, f), (g, h, i) = m
+        return f"({a}*({e}*{i} - {f}*{h}) - {b}*({d}*{i} - {f}*{g}) + {c}*({d}*{h} - {e}*{g}))"
+
+    right = ["x1y", "x2y", "x3y"]
+    with_right = [[[right[r] if c == k else rows[r][c] for c in range(3)] for r in range(3)] for k in range(3)]
+    weights = ", ".join(f"{det(with_right[k])} / {det(rows)} AS b{k + 1}" for k in range(3))
+    constant = "ym - b1 * x1m - b2 * x2m - b3 * x3m" if intercept else "0"
+    return f"""{name}_m AS (SELECT avg(y) AS ym, avg(x1) AS x1m, avg(x2) AS x2m, avg(x3) AS x3m FROM train),
+{name}_s AS (SELECT {sums} FROM train, {name}_m m),
+{name}_b AS (SELECT *, {weights} FROM {name}_s, {name}_m),
+{name} AS (SELECT lagged.*, {constant} + b1 * x1 + b2 * x2 + b3 * x3 AS predicted FROM lagged, {name}_b)"""
+
+
 WATERMARK = "(SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 
 
@@ -293,6 +326,24 @@ ORACLE: dict[str, str] = {
     "metrics_total": f"""WITH {LAGGED},
         c AS (SELECT *, avg(actual) OVER () AS m FROM q WHERE model = 'previous')
         SELECT {METRICS} FROM c""",
+    "fit_linear_many": f"""WITH {LAG_ROWS}, {_solved("fitted", True)}
+        SELECT event_id, "set", y AS power, round(predicted, 6) AS predicted FROM fitted""",
+    "fit_stump": f"""WITH {LAG_ROWS},
+        t AS (SELECT hour, count(*) AS n, sum(y) AS s FROM lagged WHERE "set" = 'train' AND y IS NOT NULL GROUP BY hour),
+        cut AS (
+            SELECT hour, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s
+            FROM t WINDOW w AS (ORDER BY hour)),
+        best AS (
+            SELECT * FROM cut WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1)
+        SELECT event_id, "set", lagged.hour AS hour,
+               round(CASE WHEN lagged.hour <= best.hour THEN sl / nl ELSE (s - sl) / (n - nl) END, 6) AS predicted
+        FROM lagged, best""",
+    "search_exact": f"""WITH {LAG_ROWS}, {_solved("a", True)}, {_solved("b", False)},
+        q AS (
+            SELECT '{{"regParam":"0.0","fitIntercept":"True"}}' AS params, y AS actual, predicted FROM a WHERE "set" = 'val'
+            UNION ALL SELECT '{{"regParam":"0.0","fitIntercept":"False"}}', y, predicted FROM b WHERE "set" = 'val'),
+        c AS (SELECT *, avg(actual) OVER (PARTITION BY params) AS m FROM q WHERE predicted IS NOT NULL)
+        SELECT params, {METRICS} FROM c GROUP BY params""",
     "metrics_per_user": f"""WITH {LAGGED},
         c AS (SELECT *, avg(actual) OVER (PARTITION BY model, user_id) AS m FROM q)
         SELECT model, user_id, {METRICS} FROM c GROUP BY model, user_id""",

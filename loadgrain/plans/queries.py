@@ -344,7 +344,14 @@ def _lag_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_linear_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _lag_features(spark, sf_dir)
     model = models.fit_linear_many(rows.filter(F.col("set") == "train"), "power", LAGS)
-    return models.predict(model, rows, LAGS).select("event_id", "set", "power", "predicted")
+    return rounded(models.predict(model, rows, LAGS).select("event_id", "set", "power", "predicted"), "predicted")
+
+
+def fit_stump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree of one split on the hour: with 24 values every split is tried, so SQL can find the best one."""
+    rows = _lag_features(spark, sf_dir)
+    model = models.fit_trees(rows.filter(F.col("set") == "train"), "power", ["hour"], maxIter=1, maxDepth=1)
+    return rounded(models.predict(model, rows, ["hour"]).select("event_id", "set", "hour", "predicted"), "predicted")
 
 
 def fit_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,6 +374,13 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.search(rows, "power", LAGS, {"regParam": [0.0, 0.1, 1.0], "elasticNetParam": [0.0, 0.5]})
 
 
+def search_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A grid whose models have exact solutions, so that SQL can score them too."""
+    rows = _lag_features(spark, sf_dir)
+    found = models.search(rows, "power", LAGS, {"regParam": [0.0], "fitIntercept": [True, False]})
+    return rounded(found, "mae", "rmse", "r2")
+
+
 # streaming
 
 
@@ -432,8 +446,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fit_linear_global": fit_linear_global,
     "fit_linear_many": fit_linear_many,
     "fit_trees": fit_trees,
+    "fit_stump": fit_stump,
     "score": score,
     "search": search,
+    "search_exact": search_exact,
     "metrics_total": metrics_total,
     "metrics_per_user": metrics_per_user,
     "robust_metrics": robust_metrics,
