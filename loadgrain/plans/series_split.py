@@ -6,7 +6,8 @@ into consecutive chunks of time, windows run per chunk, and what a chunk needs f
 ones comes from two small tables: its last rows (``with_lookback``) or its totals
 (``with_carry``). Both hold a few rows per chunk.
 
-Chunks are cells of a day; a day with too many rows is cut further, down to one second. With
+Chunks are days; a day with too many rows is cut into hours, an hour with too many into minutes,
+and such a minute into seconds, by exact counts, so bursts are cut where they are. With
 one row per (series, microsecond), which ``merge_batches`` ensures, a chunk of one second
 has at most a million rows. Chunk limits steer the speed only: any choice gives the same
 result. Without long series the plan is the plain window.
@@ -19,12 +20,13 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from loadgrain.functions.columns import epoch_seconds, join_null_safe
+from loadgrain.functions.columns import epoch_seconds, floor_div, join_null_safe
 from loadgrain.plans.small import pin_small
 
 CHUNK = "_chunk"
 HALO = "_halo"
-CELL_SECONDS = 86_400
+# lengths of chunks in seconds, each cut into the next where it has too many rows
+CELLS = (86_400, 3_600, 60, 1)
 SERIES_ROWS_CONF = "spark.loadgrain.seriesRows"
 SERIES_ROWS = 4_000_000
 
@@ -75,15 +77,32 @@ class Series:
             .withColumn("_back", F.row_number().over(newest))
             .filter(F.col("_back") <= n)
         )
-        # per series: at most n rows for each chunk
-        along = Window.partitionBy(*self.keys).orderBy(CHUNK, *order)
+        # one row per chunk: which chunks before it reach into the n rows before it, and where those rows end
+        sizes = self.rows.filter(F.col(CHUNK).isNotNull()).groupBy(*self.parts).agg(F.count(F.lit(1)).alias("_size"))
+        along = Window.partitionBy(*self.keys).orderBy(CHUNK)
+        sizes = sizes.withColumns(
+            {
+                "_no": F.row_number().over(along),
+                "_end": F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+            }
+        ).withColumn("_first", F.col("_end") - F.col("_size"))
+        near = Window.partitionBy(*self.keys).orderBy("_first").rangeBetween(1 - n, Window.currentRow)
+        reach = sizes.withColumn("_from", F.min("_no").over(near) - 1).select(
+            *self.keys,
+            F.col(CHUNK).alias("_into"),
+            F.col("_first").alias("_opens"),
+            F.explode(F.sequence(F.greatest("_from", F.lit(1)), F.greatest(F.col("_no") - 1, F.lit(1)))).alias("_no"),
+            F.col("_no").alias("_own"),
+        )
+        reach = join_null_safe(
+            reach.filter(F.col("_no") < F.col("_own")), sizes.select(*self.keys, "_no", CHUNK, "_end"), [*self.keys, "_no"]
+        ).drop("_no", "_own")
+        reach, _ = pin_small(reach)
         carried = [c for c in kept if c not in self.keys and c != CHUNK]
         borrowed = (
-            tails.withColumn("_opens", ~F.lag(CHUNK).over(along).eqNullSafe(F.col(CHUNK)))
-            .withColumn("_prev", F.collect_list(F.struct(*carried)).over(along.rowsBetween(-n, -1)))
-            .filter("_opens")
-            .select(*self.keys, CHUNK, F.explode("_prev").alias("_prev"))
-            .select(*self.keys, CHUNK, "_prev.*", F.lit(True).alias(HALO))
+            join_null_safe(tails, reach, self.parts)
+            .filter(F.col("_end") - F.col("_back") >= F.col("_opens") - n)
+            .select(*self.keys, F.col("_into").alias(CHUNK), *carried, F.lit(True).alias(HALO))
         )
         own = self.rows.withColumn(HALO, F.lit(False))
         return self.with_rows(own.unionByName(borrowed, allowMissingColumns=True))
@@ -133,34 +152,28 @@ def split_series(
         return Series(df, tuple(keys), False)
 
     second = epoch_seconds(df, ts)
-    day = F.floor(second / CELL_SECONDS) * CELL_SECONDS
-    pieces = F.ceil(F.col("_n") / limit)
-    widths = (
-        join_null_safe(sized_by.select(*keys, ts), hot, keys)
-        .groupBy(*keys, day.alias("_day"))
+    day, hour, minute, _ = (floor_div(F.col("_sec"), size) * size for size in CELLS)
+    cells = [F.struct(cell.alias("at"), F.lit(i).alias("level")) for i, cell in enumerate((day, hour, minute))]
+    # first summed up by minute; what is left are the cells with too many rows, few for each series
+    dense = (
+        join_null_safe(sized_by.select(*keys, epoch_seconds(sized_by, ts).alias("_sec")), hot, keys)
+        .groupBy(*keys, minute.alias("_sec"))
         .agg(F.count(F.lit(1)).alias("_n"))
+        .select(*keys, "_n", F.explode(F.array(*cells)).alias("_cell"))
+        .groupBy(*keys, "_cell")
+        .agg(F.sum("_n").alias("_n"))
         .groupBy(*keys)
         .agg(
-            F.map_from_entries(
-                F.collect_list(
-                    F.when(
-                        F.col("_n") > limit,
-                        F.struct("_day", F.greatest(F.lit(1), F.ceil(CELL_SECONDS / pieces)).alias("_w")),
-                    )
-                )
-            ).alias("_widths"),
+            F.collect_list(F.when(F.col("_n") > limit, F.col("_cell.at") * 4 + F.col("_cell.level"))).alias("_dense"),
             F.lit(True).alias("_hot"),
         )
     )
-    widths, _ = pin_small(widths)
-    width = F.coalesce(F.try_element_at("_widths", "_day"), F.lit(CELL_SECONDS))
+    dense, _ = pin_small(dense)
+    too_many = [F.array_contains("_dense", cell * 4 + i) for i, cell in enumerate((day, hour, minute))]
+    chunk = F.when(too_many[2], F.col("_sec")).when(too_many[1], minute).when(too_many[0], hour).otherwise(day)
     rows = (
-        join_null_safe(df.withColumn("_sec", second).withColumn("_day", day), widths, keys, "left")
-        .withColumn("_w", width)
-        .withColumn(
-            CHUNK,
-            F.when(F.col("_hot"), F.col("_day") + F.floor((F.col("_sec") - F.col("_day")) / F.col("_w")) * F.col("_w")),
-        )
-        .drop("_sec", "_day", "_widths", "_hot", "_w")
+        join_null_safe(df.withColumn("_sec", second), dense, keys, "left")
+        .withColumn(CHUNK, F.when(F.col("_hot"), chunk))
+        .drop("_sec", "_dense", "_hot")
     )
     return Series(rows, tuple(keys), True)

@@ -139,3 +139,23 @@ def test_rollup_counts_null_power(spark):
     assert got[("u", 1, None)] == (2.0, 2.0, 2)
     assert got[("t", 1, "b")] == (None, None, 1)
     assert len(got) == 6
+
+
+@pytest.mark.parametrize("spread", [840, 60])
+def test_bursts_are_cut(spark, conf, spread):
+    """Most rows of a day within minutes, or within one minute."""
+    conf("spark.loadgrain.seriesRows", 300)
+    rng = random.Random(spread)
+    burst = [(1, START + timedelta(microseconds=rng.randrange(spread * 10**6)), i, 1.0) for i in range(3000)]
+    rest = [(1, START + timedelta(hours=1 + i % 40, seconds=i), 3000 + i, 2.0) for i in range(40)]
+    df = spark.createDataFrame(burst + rest, SCHEMA)
+    sizes = [r["count"] for r in split_series(df, ["k"]).rows.groupBy(CHUNK).count().collect()]
+    assert max(sizes) <= 600 and sum(sizes) == 3040
+
+
+@pytest.mark.parametrize("lag", [1, 70, 400])
+def test_long_lags_over_many_chunks(spark, conf, lag):
+    df, rows = table(spark, 5, [300, 2, 500])
+    want = spark_rows(features(df, ["k"], [lag], [lag + 1], tie=("tie",)))
+    conf("spark.loadgrain.seriesRows", 50)
+    assert spark_rows(features(df, ["k"], [lag], [lag + 1], tie=("tie",))) == want
