@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loadgrain.llm.common import gathered
+
 
 def split_hot(rows: DataFrame, keys: list[str], member: Column, most: int) -> DataFrame:
     """Adds ``first``, ``second`` and ``chunk``, so that no bucket of ``keys`` and those has far more than ``2 * most`` rows.
@@ -32,7 +34,7 @@ def whole_buckets(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterato
     """From rows sorted by ``keys``: tables of whole buckets, and where the buckets begin and end."""
     held: list[pa.RecordBatch] = []
     last = None
-    for batch in batches:
+    for batch in gathered(batches):
         if not batch.num_rows:
             continue
         key = [batch.column(batch.schema.get_field_index(k)) for k in keys]

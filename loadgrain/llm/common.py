@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from loadgrain.plans.scratch import new_folder
 
 # bytes of text that one step of vectorised work takes; a longer single text is a step of its own
-STEP_BYTES = 2_000_000
+STEP_BYTES = 500_000
+# rows of a batch between Spark and Python; texts are long
+BATCH_ROWS = 1000
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -24,6 +26,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same table; from now on the session hands at most ``BATCH_ROWS`` rows at a time to Python workers.
+
+    The default of 10,000 documents takes tens of megabytes in each of the JVM, Arrow and Python.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(df.sparkSession.conf.get(key))
+    if now <= 0 or now > BATCH_ROWS:
+        df.sparkSession.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -55,6 +69,19 @@ def steps(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = S
             begin = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """The same narrow rows in batches of at least ``rows``, to spare calls for each batch."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def runs(lengths: np.ndarray) -> np.ndarray:
     """0, 1, ... within each run of the given lengths."""
     ends = np.cumsum(lengths)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loadgrain.llm.buckets import split_hot, whole_buckets
-from loadgrain.llm.common import written
+from loadgrain.llm.common import small_batches, written
 from loadgrain.llm.components import components
 
 # filters that a vector exceeds on average
@@ -271,7 +271,7 @@ def near_embeddings(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     id is never the smallest, and ``kept`` is false for it. An empty table gives no rows. Columns other
     than ``vec_id``, ``label`` and ``embedding`` are ignored.
     """
-    rows = vectors.select(F.col("vec_id").cast("long"), "label", "embedding")
+    rows = small_batches(vectors).select(F.col("vec_id").cast("long"), "label", "embedding")
     fit = usable(F.col("embedding")) & F.col("label").isNotNull()
     classes = rows.filter(fit).groupBy("label", "embedding")
     classes = classes.agg(F.min("vec_id").alias("smallest"), F.count("*").alias("copies"))

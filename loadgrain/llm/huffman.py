@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from loadgrain.llm.common import steps, written
+from loadgrain.llm.common import small_batches, steps, written
 from loadgrain.llm.tokens import encoder, with_end
 
 # symbols of a block: each block can be decoded from its checkpoint alone
@@ -54,7 +54,7 @@ def token_table(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         return pa.RecordBatch.from_arrays(list(columns), names=["doc_id", "ids", "counts"])
 
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     return rows.mapInArrow(encode, "doc_id long, ids binary, counts binary")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loadgrain.llm.common import steps
+from loadgrain.llm.common import small_batches, steps
 
 NOTHING = "und"
 # n-grams of 1 to LONGEST characters, hashed to 2**BITS features
@@ -175,7 +175,7 @@ def train_language_model(docs: DataFrame, sample: int = SAMPLE) -> LanguageModel
     documents of each language, chosen by a hash of ``doc_id``, so the driver's share is bounded; every
     fifth of those is kept back for the temperature. Without any labelled text the model knows no language.
     """
-    docs = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    docs = small_batches(docs).filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     counts = docs.groupBy("lang").count().orderBy("lang").toPandas()  # a row for each language
     languages = counts["lang"].tolist()
     if not languages:
@@ -233,7 +233,7 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
     language. Only the text is looked at. One pass without a shuffle; an empty table gives no rows. Columns named
     ``lang_pred`` or ``score`` in ``docs`` are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = small_batches(docs).drop("lang_pred", "score")
 
     def predict(batches):
         m = shared.value

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadgrain.llm.common import runs, steps
+from loadgrain.llm.common import small_batches, steps
 from loadgrain.llm.tokens import encoder, with_end
 
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, bucket int, ids binary"
@@ -67,7 +67,7 @@ def pack_powers_of_two(docs: DataFrame, tokenizer: str, end_id: int, longest: in
             )
 
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)
-    pieces = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(pack, SCHEMA)
+    pieces = small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(pack, SCHEMA)
     return pieces.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadgrain.llm.common import steps
+from loadgrain.llm.common import small_batches, steps
 
 # fixed values: the kinds of the base scan in order, then those that the model adds
 BASE_KINDS = ("email", "ip", "card", "phone")
@@ -301,7 +301,7 @@ class Tagger:
 
     def spans(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """Spans of the model's kinds, as (start, kind number, end), of each text."""
-        if len(self.words) > 200_000:
+        if len(self.words) > 100_000:
             self.words = _Words(self.model, self.codes)
         found = [WORD.findall(t) for t in texts]
         size = np.fromiter(map(len, found), np.int64, len(found))
@@ -389,7 +389,7 @@ def find_personal_data(docs: DataFrame, labelled: str = LABELLED) -> DataFrame:
     """
     model = train_crf(labelled_rows(labelled))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("base", "added")
+    docs = small_batches(docs).drop("base", "added")
     at = docs.columns.index("text")
     names = (*BASE_KINDS, *MODEL_KINDS)
 

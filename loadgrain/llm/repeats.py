@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadgrain.llm.common import STEP_BYTES, written
+from loadgrain.llm.common import STEP_BYTES, gathered, small_batches, written
 
 BASE = 0x9E3779B97F4A7C15 | 1
 WHOLE, TAKE_APART = 0, 1
@@ -34,7 +34,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The powers of the hash base and of its inverse modulo 2**64."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, 1 << 22)
+        size = 1 << max(n - 1, 1 << 19).bit_length()
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             x = np.full(size, base, np.uint64)
             x[0] = 1
@@ -266,7 +266,7 @@ def repeated(rows: DataFrame, earliest: bool, apart: bool) -> DataFrame:
 
 
 def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
-    yield from batches
+    yield from gathered(batches)
     yield None
 
 
@@ -275,7 +275,7 @@ def one_key(docs: DataFrame, name: str) -> DataFrame:
 
     The key is ``doc_id`` itself unless ids are null or repeated; then documents are sorted and numbered.
     """
-    docs = docs.drop("key")
+    docs = small_batches(docs).drop("key")
     ids = docs.groupBy("doc_id").count().filter("`count` > 1 or doc_id is null")
     if ids.isEmpty():
         return docs.select(F.col("doc_id").cast("long").alias("key"), "*")

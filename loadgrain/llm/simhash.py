@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loadgrain.llm.buckets import split_hot, whole_buckets
-from loadgrain.llm.common import steps, written
+from loadgrain.llm.common import small_batches, steps, written
 from loadgrain.llm.components import components, roots
 from loadgrain.llm.repeats import one_key
 from loadgrain.llm.words import joined_words
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42) -> DataFrame
                 [batch.column(0), pa.array(majority.astype(np.uint64).view(np.int64))], names=["doc_id", "fingerprint"]
             )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, fingerprint long")
+    return small_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(make, "doc_id long, fingerprint long")
 
 
 @cache
@@ -211,7 +211,9 @@ def simhash_components(docs: DataFrame, most: int = 4, blocks: tuple | None = No
 
 def drop_near_duplicates(docs: DataFrame, most: int = 4) -> DataFrame:
     """The columns of ``docs``, with one row of each component: that with the smallest ``doc_id``, then text."""
-    keyed = one_key(docs, "simhash-documents")
+    own = [F.col(c).alias(f"_{c}") for c in docs.columns if c not in ("doc_id", "text")]  # none may be named key
+    keyed = one_key(docs.select("doc_id", "text", *own), "simhash-documents")
     found = simhash_components(keyed.select(F.col("key").alias("doc_id"), "text"), most)
     kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("key"))
-    return keyed.join(kept, "key", "left_semi").select(*docs.columns)
+    back = [F.col(c if c in ("doc_id", "text") else f"_{c}").alias(c) for c in docs.columns]
+    return keyed.join(kept, "key", "left_semi").select(*back)

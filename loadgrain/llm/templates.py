@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loadgrain.llm.common import steps, text_bytes, written
+from loadgrain.llm.common import small_batches, steps, text_bytes, written
 from loadgrain.llm.repeats import BASE, Hashes, mix
 from loadgrain.llm.suffixes import UNITS as BYTES
 from loadgrain.llm.words import joined_words
@@ -160,7 +160,7 @@ def find_leaks(
         wanted = np.sort(found.astype(np.int64).view(np.uint64))
         if not len(wanted):
             wanted = np.zeros(1, np.uint64)
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), *columns)
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("id"), *columns)
     own = template_windows(rows, size, wanted)
     items = items.select(
         "hash",

@@ -88,7 +88,7 @@ def test_one_of_each_group_stays(docs):
     rows = [(4, text), (4, text), (2, text + " more"), (None, None), (None, None), (7, "quite another text about rain and snow")]
     df = docs(rows)
     kept = drop_near_duplicates(df)
-    assert kept.columns == df.columns
+    assert kept.columns == df.columns and {r["key"] for r in kept.collect()} == {"k"}
     assert sorted((r["doc_id"] or -1, (r["text"] or "")[:5]) for r in kept.collect()) == [(-1, ""), (2, "w0 w1"), (7, "quite")]
 
 
