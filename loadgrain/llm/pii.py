@@ -424,8 +424,22 @@ def mask(text: str, spans: list) -> str:
     return "".join([*out, text[at:]])
 
 
+def united(spans: list) -> list:
+    """Sorted spans with those that overlap made one, of the first one's kind."""
+    out = []
+    for start, rank, end, kind in spans:
+        if out and start < out[-1][2]:
+            out[-1] = (*out[-1][:2], max(end, out[-1][2]), out[-1][3])
+        else:
+            out.append((start, rank, end, kind))
+    return out
+
+
 def mask_personal_data(docs: DataFrame) -> DataFrame:
-    """The same columns and rows with every span of ``find_personal_data`` masked in ``text``; a null text stays null."""
+    """The same columns and rows with every span of ``find_personal_data`` masked in ``text``; a null text stays null.
+
+    Overlapping spans are masked as one, so that nothing of the later one is left.
+    """
     found = find_personal_data(docs)
     at, base, added = (found.columns.index(c) for c in ("text", "base", "added"))
 
@@ -435,7 +449,7 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
             rows = zip(*(batch.column(c).to_pylist() for c in (at, base, added)), strict=True)
             for text, own, more in rows:
                 spans = sorted((x["start"], x["rank"], x["end"], x["kind"]) for x in own + more)
-                texts.append(mask(text, spans) if spans else text)
+                texts.append(mask(text, united(spans)) if spans else text)
             field = batch.schema.field(at)
             yield batch.set_column(at, field, pa.array(texts, field.type)).select(keep)
 
