@@ -8,7 +8,6 @@ a cut between units is a cut of both. Each distinct unit of a batch is aligned o
 
 from __future__ import annotations
 
-import itertools
 import os
 
 import numpy as np
@@ -16,14 +15,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loadgrain.llm.common import small_batches, steps, text_bytes, written
+from loadgrain.llm.common import runs, small_batches, steps, text_bytes, written
 
 BLANK_MARK = "▁"
 # a blank after one of these bytes begins a unit: visible ASCII, or the end of a letter of two bytes
 VISIBLE = np.zeros(256, bool)
 VISIBLE[33:127] = True
-# units remembered by a worker between batches
-MAX_UNITS = 200_000
+# units remembered by a worker between batches, and units that a tokenizer is asked for at once
+MAX_UNITS = 400_000
+IN_A_ROW = 2_000
+# what may follow an id in the text of groups: one of its own side, the other side, the next group, nothing
+ENDS = (",", "|", ";", "")
 # linked id pairs of the corpus up to which their counts are sent to every task: 40 MB; beyond it they are joined
 MAX_PAIRS = 2_000_000
 # rows of one id pair in a task of that join, and how many pairs with more are told apart by a broadcast table (16 MB)
@@ -42,30 +44,31 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-def character_cuts(spans: list[tuple[int, int]], sizes: list[int], place: list[int]) -> list[int]:
+def character_cuts(spans: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Byte offsets where tokens end, from their spans of characters.
 
-    A token that ends where the next begins is cut there. Tokens that share a character overlap in their spans;
-    inside such a character the bytes of the tokens (``sizes``) tell the cut, from the last certain one on.
+    ``place`` has the byte offset of each character. A token that ends where the next begins is cut there. Tokens that
+    share a character overlap in their spans; inside it the bytes of the tokens (``sizes``) tell the cuts.
     """
-    out, at = [], 0
-    for i, (_, end) in enumerate(spans):
-        at = place[end] if i + 1 == len(spans) or spans[i + 1][0] >= end else at + sizes[i]
-        out.append(at)
-    return out
+    certain = np.append(spans[1:, 0] >= spans[:-1, 1], True) if len(spans) else np.zeros(0, bool)
+    return _refined(place[spans[:, 1]], certain, sizes)
 
 
-def piece_cuts(spans: list[tuple[int, int]], sizes: list[int], lead: int) -> list[int]:
+def piece_cuts(spans: np.ndarray, sizes: np.ndarray, lead: int) -> np.ndarray:
     """Byte offsets where pieces end, from their spans of bytes behind a ``lead`` of added bytes.
 
     A piece with a span of its own is cut at its end. Of the byte tokens of a character all but the last have
     an empty span; they are told by their bytes.
     """
-    out, at = [], 0
-    for i, (begin, end) in enumerate(spans):
-        at = at + sizes[i] if begin == end else lead + end
-        out.append(at)
-    return out
+    return _refined(spans[:, 1] + lead, spans[:, 0] < spans[:, 1], sizes)
+
+
+def _refined(ends: np.ndarray, certain: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The certain ends, and between them the last certain one plus the bytes since."""
+    total = np.cumsum(sizes)
+    before = np.maximum.accumulate(np.where(certain, np.arange(len(ends)), -1))
+    base = np.where(before >= 0, ends[before] - total[before], 0) if len(ends) else ends
+    return base + total
 
 
 class Aligner:
@@ -90,114 +93,136 @@ class Aligner:
             bytes([int(p[1:-1], 16)]) if self.b.is_byte(i) else p.replace(BLANK_MARK, " ").encode() for i, p in enumerate(pieces)
         ]
         self.cuttable = not any(BLANK_MARK in p.lstrip(BLANK_MARK) for p in pieces)
+        # ids as text with what follows them
+        most = max(len(self.bytes_a), len(self.bytes_b))
+        self.written = pa.array([f"{i}{end}" for i in range(most) for end in ENDS], pa.large_string())
         self._forget()
 
     def _forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.text: list[str] = []
-        # per unit: whether both tokenizers give back its bytes, tokens of A and B, groups, links
+        # per unit: whether a tokenizer doesn't give back its bytes, tokens of A and B, groups, links
         self.facts = np.zeros((0, 5), np.int64)
-        self.flat = self.first = np.zeros(0, np.int64)
+        self.pairs = self.codes = self.first_pair = self.first_code = np.zeros(0, np.int64)
 
     def align(self, batch: pa.RecordBatch) -> pa.RecordBatch:
         """``ROWS`` of a batch of ``doc_id`` and ``text``."""
         data, offsets = text_bytes(batch.column(1))
         size = np.diff(offsets)
-        lead = offsets[:-1] + np.arange(len(size))
-        with_blank = np.empty(len(data) + len(size), np.uint8)
+        n = len(size)
+        lead = offsets[:-1] + np.arange(n)
+        with_blank = np.empty(len(data) + n, np.uint8)
         mine = np.ones(len(with_blank), bool)
         mine[lead] = False
         with_blank[lead], with_blank[mine] = 32, data
         cut = np.zeros(len(with_blank) + 1, bool)
-        cut[lead] = cut[-1] = True
         if self.cuttable and len(with_blank):
-            cut[1:-1] |= (with_blank[1:] == 32) & self._visible(with_blank)[:-1]
-            last = offsets[1:] + np.arange(len(size))  # B adds no blank to a unit that is nothing else
-            cut[last[size > 0]] = False
+            cut[1:-1] |= (with_blank[1:] == 32) & visible(with_blank)[:-1]
+            cut[(offsets[1:] + np.arange(n))[size > 0]] = False  # B adds no blank to a unit that is nothing else
+        cut[lead] = cut[-1] = True
         places = np.flatnonzero(cut)
         units = pa.LargeStringArray.from_buffers(len(places) - 1, pa.py_buffer(places), pa.py_buffer(with_blank)).dictionary_encode()
         which = self._known(units.dictionary.to_pylist())[units.indices.to_numpy()]
         begins = np.append(np.searchsorted(places, lead), len(which))
-        facts = np.zeros((len(size), 5), np.int64)
-        if len(size):
-            facts = np.add.reduceat(self.facts[which], begins[:-1], axis=0)
+        mine = self.facts[which]
+        facts = np.add.reduceat(mine, begins[:-1], axis=0) if n else np.zeros((0, 5), np.int64)
         good = (facts[:, 0] == 0) & (size > 0)
         facts[~good] = 0
         use = np.repeat(good, np.diff(begins))
-        groups = [
-            ";".join([self.text[u] for u in which[begins[i] : begins[i + 1]].tolist()]) if good[i] else "" for i in range(len(size))
-        ]
-        count = self.facts[which, 4] * use
-        done = np.concatenate([[0], np.cumsum(count)])
-        pairs = self.flat[np.repeat(self.first[which] - done[:-1], count) + np.arange(done[-1])]
-        owner = np.repeat(np.arange(len(size)), facts[:, 4])
+        pairs = gather(self.pairs, self.first_pair[which], mine[:, 4] * use)
+        codes = gather(self.codes, self.first_code[which], (mine[:, 1] + mine[:, 2]) * use)
+        ends = np.cumsum(facts[:, 1] + facts[:, 2])
+        codes[ends[good] - 1] += 1  # nothing follows the last
+        texts = self.written.take(pa.array(codes))
+        written = np.frombuffer(texts.buffers()[1], np.int64)[: len(codes) + 1]
+        groups = pa.LargeStringArray.from_buffers(n, pa.py_buffer(written[np.append(0, ends)].copy()), texts.buffers()[2])
+        owner = np.repeat(np.arange(n), facts[:, 4])
         order = np.lexsort((pairs, owner))
         owner, pairs = owner[order], pairs[order]
-        new = np.ones(len(pairs), bool)
-        new[1:] = (owner[1:] != owner[:-1]) | (pairs[1:] != pairs[:-1])
-        at = np.flatnonzero(new)
+        at = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (pairs[1:] != pairs[:-1]))) if len(pairs) else order
         times = np.diff(np.append(at, len(pairs)))
-        lists = pa.array(np.searchsorted(owner[at], np.arange(len(size) + 1)).astype(np.int32))
+        lists = pa.array(np.searchsorted(owner[at], np.arange(n + 1)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(0).cast(pa.int64()),
                 *(pa.array(facts[:, k]) for k in range(1, 5)),
-                pa.array(groups, pa.string()),
+                groups.cast(pa.string()),
                 pa.ListArray.from_arrays(lists, pa.array(pairs[at])),
                 pa.ListArray.from_arrays(lists, pa.array(times.astype(np.int64))),
             ],
             names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "times"],
         )
 
-    @staticmethod
-    def _visible(data: np.ndarray) -> np.ndarray:
-        """Where a character ends that is surely no white space; characters of more than two bytes are left out."""
-        out = VISIBLE[data]
-        out[1:] |= (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
-        return out
-
     def _known(self, units: list[str]) -> np.ndarray:
         """Where each unit stands among those remembered."""
         if len(self.place) > MAX_UNITS:
             self._forget()
         new = [u for u in units if u not in self.place]
-        facts, flat = [], [self.flat]
-        for at in range(0, len(new), 5_000):
-            some = new[at : at + 5_000]
-            ours = self.a.encode_batch(some, add_special_tokens=False)
-            theirs = self.b.encode([u[1:] for u in some], return_type="proto", num_threads=1)
-            for unit, a, b in zip(some, ours, theirs, strict=True):
-                fact, text, links = self._unit(unit, a, b)
-                facts.append(fact)
-                self.text.append(text)
-                flat.append(links)
-        if new:
-            self.facts = np.concatenate([self.facts, np.array(facts, np.int64)])
-            self.flat = np.concatenate(flat)
-            self.first = np.cumsum(self.facts[:, 4]) - self.facts[:, 4]
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        # units that end in a visible character may stand in a row before both tokenizers
+        ends = np.array([len(u) > 1 and (33 <= ord(u[-1]) < 127 or 0xC0 <= ord(u[-1]) < 0x800) for u in new], bool)
+        ends &= self.cuttable
+        joined = [u for u, ok in zip(new, ends, strict=True) if ok]
+        alone = [u for u, ok in zip(new, ends, strict=True) if not ok]
+        parts = [joined[at : at + IN_A_ROW] for at in range(0, len(joined), IN_A_ROW)] + [[u] for u in alone]
+        found = [self._units(part) for part in parts]
+        if found:
+            self.facts = np.concatenate([self.facts, *(f[0] for f in found)])
+            self.pairs = np.concatenate([self.pairs, *(f[1] for f in found)])
+            self.codes = np.concatenate([self.codes, *(f[2] for f in found)])
+            self.first_pair = np.cumsum(self.facts[:, 4]) - self.facts[:, 4]
+            tokens = self.facts[:, 1] + self.facts[:, 2]
+            self.first_code = np.cumsum(tokens) - tokens
+            self.place.update(zip(joined + alone, range(len(self.place), len(self.place) + len(new)), strict=True))
         return np.fromiter(map(self.place.__getitem__, units), np.int64, len(units))
 
-    def _unit(self, unit: str, a, b) -> tuple[tuple[int, ...], str, np.ndarray]:
-        pieces = list(b.pieces)
-        ids_a, ids_b = a.ids, [p.id for p in pieces]
+    def _units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Facts of each unit, and linked pairs and written tokens of all in a row."""
+        text = "".join(units)
+        whole = text.encode()
+        a = self.a.encode(text, add_special_tokens=False)
+        b = list(self.b.encode(text[1:], return_type="proto").pieces)
+        ids_a, ids_b = a.ids, [p.id for p in b]
         bytes_a, bytes_b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-        whole = unit.encode()
         if b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
-            return (1, 0, 0, 0, 0), "", np.zeros(0, np.int64)
-        place = list(itertools.accumulate(map(len, map(str.encode, unit)), initial=0))
-        ends_a = character_cuts(a.offsets, [len(x) for x in bytes_a], place)
-        ends_b = piece_cuts([(p.begin, p.end) for p in pieces], [len(x) for x in bytes_b], 1)
-        groups, links, i, j = [], [], 0, 0
-        from_a = from_b = 0
-        while i < len(ids_a) and j < len(ids_b):
-            links.append(ids_a[i] << 32 | ids_b[j])
-            x, y = ends_a[i], ends_b[j]
-            i, j = i + (x <= y), j + (y <= x)
-            if x == y:
-                groups.append(",".join(map(str, ids_a[from_a:i])) + "|" + ",".join(map(str, ids_b[from_b:j])))
-                from_a, from_b = i, j
-        return (0, len(ids_a), len(ids_b), len(groups), len(links)), ";".join(groups), np.array(links, np.int64)
+            if len(units) > 1:
+                half = len(units) // 2
+                parts = self._units(units[:half]), self._units(units[half:])
+                return tuple(np.concatenate(pair) for pair in zip(*parts, strict=True))
+            nothing = np.zeros(0, np.int64)
+            return np.array([[1, 0, 0, 0, 0]]), nothing, nothing
+        place = np.append(np.flatnonzero((np.frombuffer(whole, np.uint8) & 0xC0) != 0x80), len(whole))
+        sizes_a, sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (bytes_a, bytes_b))
+        ends_a = character_cuts(np.array(a.offsets, np.int64).reshape(-1, 2), sizes_a, place)
+        ends_b = piece_cuts(np.array([(p.begin, p.end) for p in b], np.int64).reshape(-1, 2), sizes_b, 1)
+        ids_a, ids_b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        begins_a, begins_b = np.append(0, ends_a[:-1]), np.append(0, ends_b[:-1])
+        low = np.searchsorted(ends_b, begins_a, side="right")
+        count = np.searchsorted(begins_b, ends_a, side="left") - low
+        pairs = np.repeat(ids_a << 32, count) | ids_b[np.repeat(low, count) + runs(count)]
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (group_a, group_b))
+        codes = np.concatenate([ids_a * len(ENDS) + last_a, ids_b * len(ENDS) + 2 * last_b])
+        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+        edges = np.cumsum([len(u.encode()) for u in units])
+        facts = np.zeros((len(units), 5), np.int64)
+        upto = [np.searchsorted(x, edges, side="right") for x in (ends_a, ends_b, common)]
+        upto.append(np.append(0, np.cumsum(count))[upto[0]])
+        for k, x in enumerate(upto):
+            facts[:, k + 1] = np.diff(x, prepend=0)
+        return facts, pairs, codes[order]
+
+
+def visible(data: np.ndarray) -> np.ndarray:
+    """Where a character ends that is surely no white space; characters of more than two bytes are left out."""
+    out = VISIBLE[data]
+    out[1:] |= (data[1:] >= 0x80) & (data[:-1] >= 0xC3) & (data[:-1] < 0xE0)
+    return out
+
+
+def gather(values: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Stretches of ``values`` in a row."""
+    done = np.append(0, np.cumsum(count))
+    return values[np.repeat(first - done[:-1], count) + np.arange(done[-1])]
 
 
 def aligner(definition: str, model: bytes) -> Aligner:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -124,6 +125,8 @@ def test_no_rows(docs, tokenizers):
 
 
 def test_cuts():
-    # tokens of 1, 3, 1 and 2 bytes over "aé日b": the middle ones share characters
-    assert character_cuts([(0, 2), (1, 3), (2, 3), (2, 4)], [2, 2, 1, 2], [0, 1, 3, 6, 7]) == [2, 4, 5, 7]
-    assert piece_cuts([(0, 0), (0, 0), (0, 3), (3, 4)], [1, 1, 2, 1], 1) == [1, 2, 4, 5]
+    # tokens of 2, 2, 1 and 2 bytes over "aé日b": the middle ones share characters
+    spans = np.array([(0, 2), (1, 3), (2, 3), (2, 4)])
+    assert character_cuts(spans, np.array([2, 2, 1, 2]), np.array([0, 1, 3, 6, 7])).tolist() == [2, 4, 5, 7]
+    spans = np.array([(0, 0), (0, 0), (0, 3), (3, 4)])
+    assert piece_cuts(spans, np.array([1, 1, 2, 1]), 1).tolist() == [1, 2, 4, 5]
