@@ -119,7 +119,27 @@ def test_small_tables_are_pinned_and_large_ones_are_not(spark):
     pinned, n = small.pin_small(df, 50)
     assert n == 50 and pinned.count() == 50
     left, n = small.pin_small(df, 49)
-    assert n is None and left is df
+    assert n is None and left.count() == 50
+
+
+def test_a_larger_side_is_computed_once_and_not_fetched(spark, monkeypatch):
+    computed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+
+    fetched = []
+    wide = spark.range(1_000).selectExpr("id", "repeat('x', 5000) as t", "array(id, null) as a", "map('k', id) as m", "named_struct('s', 'é') as s")
+    monkeypatch.setattr(type(wide), "toArrow", lambda df: fetched.append(df))
+    side, n = small.pin_small(wide.mapInArrow(count, wide.schema), max_bytes=4_000_000)
+    assert n is None and fetched == []
+    assert (side.count(), side.agg(F.sum(F.length("t"))).first()[0]) == (1_000, 5_000_000)
+    assert computed.value == 1_000
+    monkeypatch.undo()
+    side, n = small.pin_small(wide.mapInArrow(count, wide.schema), max_bytes=6_000_000)
+    assert n == side.count() == 1_000 and computed.value == 2_000
 
 
 def lines(spark):
