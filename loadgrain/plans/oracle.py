@@ -183,6 +183,11 @@ ORACLE: dict[str, str] = {
                least(a."end", b."end") AS overlap_end
         FROM iv a JOIN iv b ON a.key = b.key AND a.interval_id < b.interval_id
              AND a."start" < b."end" AND b."start" < a."end" """,
+    "overlap_counts": f"""WITH {INTERVALS}
+        SELECT a.key, a.interval_id, count(b.interval_id) AS n_overlaps
+        FROM iv a LEFT JOIN iv b ON a.key = b.key AND a.interval_id <> b.interval_id
+             AND a."start" < b."end" AND b."start" < a."end"
+        GROUP BY a.key, a.interval_id""",
     "merge_intervals": f"""WITH {INTERVALS},
         m AS (
             SELECT *, max("end") OVER (PARTITION BY key ORDER BY "start", interval_id

@@ -154,6 +154,10 @@ def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.overlap_pairs(fx.intervals(spark, sf_dir), ["key"])
 
 
+def overlap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.overlap_counts(fx.intervals(spark, sf_dir), ["key"])
+
+
 def merge_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.merge_intervals(fx.intervals(spark, sf_dir), ["key"])
 
@@ -417,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "merge_conflicts": merge_conflicts,
     "coverage": coverage,
     "overlap_pairs": overlap_pairs,
+    "overlap_counts": overlap_counts,
     "merge_intervals": merge_intervals,
     "stored_readings": stored_readings,
     "resample_forward": resample_query("forward"),

@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from loadgrain.operators.intervals import merge_intervals, overlap_pairs
+from loadgrain.operators.intervals import invalid_intervals, merge_intervals, overlap_counts, overlap_pairs
 
 START = datetime(2024, 1, 1)
 SCHEMA = "key bigint, interval_id bigint, start timestamp_ntz, end timestamp_ntz"
@@ -23,17 +23,20 @@ def intervals(spark, seed: int, n: int, keys: int, longest: float):
 
 
 @pytest.mark.parametrize("bin_rows", [1, 3, 100_000])
-@pytest.mark.parametrize("bin_seconds", [3_600, 86_400, None])
+@pytest.mark.parametrize("small_rows", [0, 60, 1_000_000])
 @pytest.mark.parametrize("longest", [90, 4_000])
-def test_pairs_equal_brute_force(spark, bin_rows, bin_seconds, longest):
+def test_pairs_equal_brute_force(spark, bin_rows, small_rows, longest):
     df, rows = intervals(spark, 5, 200, 3, longest)
+    # one over the whole time, and one within a moment
+    rows += [(1, 900, START - timedelta(days=9), START + timedelta(days=900)), (1, 901, START, START + timedelta(microseconds=1))]
+    df = spark.createDataFrame(rows, SCHEMA)
     want = sorted(
         (a[0], a[1], b[1])
         for a in rows
         for b in rows
         if a[0] == b[0] and a[1] < b[1] and a[2] < b[3] and b[2] < a[3]
     )
-    found = overlap_pairs(df, ["key"], bin_seconds=bin_seconds, bin_rows=bin_rows).collect()
+    found = overlap_pairs(df, ["key"], bin_rows=bin_rows, small_rows=small_rows).collect()
     assert sorted((r["key"], r["id_a"], r["id_b"]) for r in found) == want
     assert len(want) > 20
     by_id = {r[1]: r for r in rows}
@@ -66,9 +69,47 @@ def test_islands_equal_a_sweep(spark, conf, limit, longest):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("limit", [1, 9, 100_000])
+@pytest.mark.parametrize("longest", [30, 4_000])
+def test_counts_equal_brute_force(spark, conf, limit, longest):
+    conf("spark.loadgrain.seriesRows", limit)
+    _, rows = intervals(spark, 7, 200, 3, longest)
+    at = START + timedelta(minutes=11)
+    # empty ones at one moment, at the ends of others and inside them
+    rows += [(2, 1_000 + i, at, at) for i in range(3)] + [(2, 1_010, at - timedelta(minutes=1), at), (2, 1_011, at, at + timedelta(minutes=1))]
+    rows += [(2, 1_020, START, START + timedelta(days=9)), (None, 1, at, at + timedelta(hours=1)), (None, 2, at, at + timedelta(hours=2))]
+    want = sorted(
+        (a[0], a[1], sum(a[0] == b[0] and a[1] != b[1] and a[2] < b[3] and b[2] < a[3] for b in rows)) for a in rows if a[0] is not None
+    )
+    found = overlap_counts(spark.createDataFrame(rows, SCHEMA), ["key"]).collect()
+    assert sorted((r["key"], r["interval_id"], r["n_overlaps"]) for r in found if r["key"] is not None) == want
+    assert sorted(r["n_overlaps"] for r in found if r["key"] is None) == [1, 1]
+
+
+def test_invalid_intervals(spark):
+    hour = timedelta(hours=1)
+    rows = [(1, 1, START, START + hour), (1, 2, START, START - hour), (1, 3, START, None), (1, 4, None, START), (1, 5, START, START)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert sorted(r["interval_id"] for r in invalid_intervals(df).collect()) == [2, 3, 4]
+    for operator in (overlap_pairs, overlap_counts):
+        with pytest.raises(Exception, match="invalid interval [234]"):
+            operator(df, ["key"]).collect()
+        assert operator(df.filter("interval_id in (1, 5)"), ["key"]).count() == (0 if operator is overlap_pairs else 2)
+
+
+def test_one_long_interval_is_two_rows(spark):
+    """Whatever its length, an interval lies in two bins of its level, and the others are not looked up more often for it."""
+    rows = [(1, i, START + timedelta(seconds=i), START + timedelta(seconds=i + 1)) for i in range(5_000)]
+    rows.append((1, 9_999, START - timedelta(days=36_500), START + timedelta(days=36_500)))
+    found = overlap_pairs(spark.createDataFrame(rows, SCHEMA), ["key"], small_rows=0)
+    assert found.count() == 5_000
+    assert found.agg({"id_b": "min"}).first()[0] == 9_999
+
+
 def test_nothing_overlaps_nothing(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert overlap_pairs(empty, ["key"]).count() == 0
+    assert overlap_counts(empty, ["key"]).count() == 0
     assert merge_intervals(empty, ["key"]).count() == 0
 
 
