@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loadgrain.functions.columns import elapsed, epoch_micros, floor_div, join_null_safe, seconds
+from loadgrain.functions.columns import elapsed, epoch_micros, join_null_safe, seconds
 from loadgrain.functions.quantile import exact_quantile
+from loadgrain.plans.near_pieces import rows_with_keys
 from loadgrain.plans.series_split import Series, split_series
-from loadgrain.plans.small import pin_small
+from loadgrain.plans.signature_index import Signatures
+from loadgrain.plans.small import MAX_BROADCAST_ROWS, pin_small, stored
 
 RISE, FALL = "rise", "fall"
-# readings above which a piece of a transient's frame is cut into slices
-PIECE_ROWS = 1_000
-# used only when the signatures do not fit a broadcast
-SIGNATURE_BLOCKS = 64
+# readings that a cell of time should hold where transients are sought, and bins of one level in one of the next
+CELL_ROWS = 16
+FAN_BITS = 2
+FAN = 1 << FAN_BITS
+# signatures up to which an event is compared with each
+SCANNED = 64
 
 
 def _with_steps(df: DataFrame, keys: list[str], ts: str, power: str, tie: tuple[str, ...]) -> Series:
@@ -89,90 +95,90 @@ def transient_features(
 ) -> DataFrame:
     """Count, min, max and mean of the power around each event of ``df``, and the overshoot.
 
-    The frames ``[ts - before, ts]`` and ``[ts, ts + after]`` both include the event's reading.
-    Time is cut into pieces as long as a frame, so an event looks into three of them at most.
-    A piece with many readings is cut again, into about as many slices as each then holds
-    readings: slices inside a frame answer with their totals, and readings are compared only
-    in the slices where a frame begins or ends.
+    The frames ``[ts - before, ts]`` and ``[ts, ts + after]`` both include the event's reading. Readings in pieces of time
+    that no event looks into go before anything is counted or shuffled.
+
+    Time is cut into cells of about ``CELL_ROWS`` readings, a cell with many more again, and totals are kept of cells, of ``FAN``
+    cells, of ``FAN`` of those, and so on. A frame is made of a few such totals, as in a tree, and of the readings
+    in the cells where it begins and ends, so an event meets some dozens of rows however many its frames hold.
     """
     back, ahead = round(seconds(before) * 1e6), round(seconds(after) * 1e6)
-    width = max(back, ahead, 1)
-    readings = (
-        df.filter(F.col(power).isNotNull())
-        .select(*keys, epoch_micros(df, ts).alias("_us"), F.col(power).alias("_x"))
-        .withColumn("_piece", floor_div(F.col("_us"), width))
-    )
-    by_piece = [*keys, "_piece"]
-    by_slice = [*by_piece, "_slice"]
+    who = [*keys, ts, *tie]
+    start, at, end = F.col("_at") - back, F.col("_at"), F.col("_at") + ahead
+    # narrow, and read twice: for the pieces that matter and for the frames
+    moments = stored(events.select(*who, epoch_micros(events, ts).alias("_at")), "transient-events")
+    top = _level(max(back, ahead, 1))
+    piece = lambda us: _bin(us, top).alias("_piece")
+    readings = df.filter(F.col(power).isNotNull()).select(*keys, epoch_micros(df, ts).alias("_us"), F.col(power).alias("_x"))
+    pieces = moments.select(*keys, F.explode(F.array(*[_bin(us, top) for us in (start, at, end)])).alias("_piece"))
+    readings = rows_with_keys(readings.select("*", piece(F.col("_us"))), pieces, [*keys, "_piece"])
+
+    sizes = readings.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n")).agg(F.avg("_n").alias("mean")).first()
+    base = max(top - _level(max(int((sizes["mean"] or 1) / CELL_ROWS), 1)), 0)
+    cell = lambda us: _bin(us, base)
+    readings = readings.drop("_piece").withColumn("_cell", cell(F.col("_us")))
+    by_cell = [*keys, "_cell"]
+    finer = F.least(F.lit(base), F.ceil(F.log2(F.col("_n") / CELL_ROWS) / 2)).cast("int")
     dense = (
-        readings.groupBy(*by_piece)
+        readings.groupBy(*by_cell)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > PIECE_ROWS)
-        .select(*by_piece, F.ceil(F.lit(width) / F.ceil(F.sqrt("_n"))).alias("_w"))
+        .filter(F.col("_n") > CELL_ROWS * FAN)
+        .select(*by_cell, finer.alias("_finer"))
     )
     dense, n_dense = pin_small(dense)
-    # width of the slices; an undivided piece is one slice
-    slices = lambda rows: (
-        rows.withColumn("_w", F.lit(width).cast("bigint"))
+    deepest = 0 if n_dense == 0 else dense.agg(F.max("_finer")).first()[0] or 0
+    # the level of the smallest bins of a cell
+    leveled = lambda rows: (
+        rows.withColumn("_level", F.lit(base))
         if n_dense == 0
-        else join_null_safe(rows, dense, by_piece, "left").withColumn("_w", F.coalesce("_w", F.lit(width)))
+        else join_null_safe(rows, dense, by_cell, "left")
+        .withColumn("_level", F.lit(base) - F.coalesce("_finer", F.lit(0)))
+        .drop("_finer")
     )
-    slice_of = lambda us: floor_div(us - F.col("_piece") * width, F.col("_w"))
-
-    sliced = slices(readings).withColumn("_slice", slice_of(F.col("_us")))
-    facts = sliced.select(
-        *by_slice,
-        F.lit("reading").alias("_kind"),
+    by_bin = [*keys, "_level", "_bin"]
+    sums = [
+        F.sum("_n").alias("_n"), F.sum("_sum").alias("_sum"), F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi")
+    ]
+    facts = leveled(readings).select(
+        *keys,
+        "_level",
+        _bin(F.col("_us"), F.col("_level")).alias("_bin"),
+        F.lit(True).alias("_single"),
         "_us",
         F.lit(1).cast("bigint").alias("_n"),
         *[F.col("_x").alias(c) for c in ("_sum", "_lo", "_hi")],
     )
-    if n_dense != 0:
-        totals = (
-            sliced.filter(F.col("_w") < width)
-            .groupBy(*by_slice)
-            .agg(
-                F.count("_x").alias("_n"), F.sum("_x").alias("_sum"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
-            )
-            .withColumn("_kind", F.lit("total"))
-        )
-        facts = facts.unionByName(totals, allowMissingColumns=True)
-
-    who = [*keys, ts, *tie]
-    at, start, end = F.col("_at"), F.col("_at") - back, F.col("_at") + ahead
-    first, mid, last = (floor_div(c, width) for c in (start, at, end))
-    asked = slices(
-        events.select(*who, epoch_micros(events, ts).alias("_at")).withColumn(
-            "_piece", F.explode(F.array_distinct(F.array(first, mid, last)))
-        )
-    )
-    piece, n_slices = F.col("_piece"), F.ceil(F.lit(width) / F.col("_w"))
-    # slices where the frames begin, meet and end; -1 and n_slices stand for other pieces
-    begins = F.when(piece == first, slice_of(start)).otherwise(-1)
-    meets = F.when(piece == mid, slice_of(at)).when(piece < mid, n_slices).otherwise(-1)
-    ends = F.when(piece == last, slice_of(end)).otherwise(n_slices)
-    asked = asked.withColumns({"_begins": begins, "_meets": meets, "_ends": ends, "_n_slices": n_slices})
-    compared = F.filter(
-        F.array_distinct(F.array("_begins", "_meets", "_ends")), lambda i: (i >= 0) & (i < F.col("_n_slices"))
+    upper = F.transform(
+        F.sequence(F.col("_level"), F.lit(top)),
+        lambda k: F.struct(k.alias("_level"), _bin(F.col("_bin"), k - F.col("_level")).alias("_bin")),
     )
-    inside = {
-        "left": _whole_numbers(F.col("_begins") + 1, F.col("_meets") - 1),
-        "right": _whole_numbers(F.col("_meets") + 1, F.col("_ends") - 1),
-    }
-    tag = lambda numbers, kind, side: F.transform(
-        numbers, lambda i: F.struct(i.alias("_slice"), F.lit(kind).alias("_kind"), F.lit(side).alias("_side"))
+    totals = (
+        facts.groupBy(*by_bin)
+        .agg(*sums)
+        .select(*keys, "_n", "_sum", "_lo", "_hi", F.inline(upper))
+        .groupBy(*by_bin)
+        .agg(*sums)
+        .withColumn("_single", F.lit(False))
     )
-    wanted = tag(compared, "reading", "both")
-    if n_dense != 0:
-        wanted = F.concat(wanted, *[tag(numbers, "total", side) for side, numbers in inside.items()])
-    joined = join_null_safe(asked.select(*who, "_at", "_piece", F.inline(wanted)), facts, [*by_slice, "_kind"])
-
-    in_frame = {
-        "before": (F.col("_side") == "left") | F.col("_us").between(start, at),
-        "after": (F.col("_side") == "right") | F.col("_us").between(at, end),
-    }
+    facts = facts.unionByName(totals, allowMissingColumns=True)
+
+    asked = leveled(moments.withColumn("_cell", F.explode(F.array_distinct(F.array(cell(start), cell(at), cell(end))))))
+    level, first_us, last_us = F.col("_level"), _begin(F.col("_cell"), base), _begin(F.col("_cell") + 1, base) - 1
+    wanted = []
+    for side, begin, stop in (("before", start, at), ("after", at, end)):
+        touched = F.col("_cell").between(cell(begin), cell(stop))
+        lo, hi = (_bin(us, level) for us in (F.greatest(begin, first_us), F.least(stop, last_us)))
+        none = F.array().cast(WANTED)
+        wanted.append(F.when(touched, F.array(*[_wanted(level, b, True, "both") for b in (lo, hi)])).otherwise(none))
+        wanted.append(F.when(touched, _covering(lo + 1, hi, level, deepest + 1, side)).otherwise(none))
+        between = _covering(cell(begin) + 1, cell(stop), F.lit(base), top - base + 1, side)
+        wanted.append(F.when(F.col("_cell") == cell(at), between).otherwise(none))
+    wanted = F.array_distinct(F.concat(*wanted))
+    joined = join_null_safe(asked.select(*who, "_at", F.inline(wanted)), facts, [*by_bin, "_single"])
+
     aggs = []
-    for side, counts in in_frame.items():
+    for side, begin, stop in (("before", start, at), ("after", at, end)):
+        counts = (F.col("_side") == side) | (F.col("_single") & F.col("_us").between(begin, stop))
         n, total = F.sum(F.when(counts, F.col("_n"))), F.sum(F.when(counts, F.col("_sum")))
         aggs += [
             n.alias(f"n_{side}"),
@@ -183,6 +189,47 @@ def transient_features(
     return joined.groupBy(*who).agg(*aggs).withColumn("overshoot", F.col("max_after") - F.col("mean_after"))
 
 
+def _level(width: int) -> int:
+    """The first level whose bins hold ``width`` microseconds or bins."""
+    return next(k for k in range(64) if FAN**k >= width)
+
+
+def _bin(number: Column, level: Column | int) -> Column:
+    """The bin of a microsecond, or of a bin of level 0, ``level`` levels up; exact for negative numbers too."""
+    return F.call_function("shiftright", number, (F.lit(level) * FAN_BITS).cast("int"))
+
+
+def _begin(number: Column, level: int) -> Column:
+    return F.call_function("shiftleft", number, F.lit(level * FAN_BITS))
+
+
+WANTED = "array<struct<_level: int, _bin: bigint, _single: boolean, _side: string>>"
+
+
+def _wanted(level: Column, number: Column, single: bool, side: str) -> Column:
+    return F.struct(
+        level.cast("int").alias("_level"), number.alias("_bin"), F.lit(single).alias("_single"), F.lit(side).alias("_side")
+    )
+
+
+def _covering(lo: Column, hi: Column, level: Column, levels: int, side: str) -> Column:
+    """Totals that together make up the bins ``lo`` to ``hi - 1`` of ``level``, from that level and those above."""
+    out = []
+    for k in range(levels):
+        a, b = _bin(lo + (FAN**k - 1), k), _bin(hi, k)
+        # the bins that whole bins of the level above stand for; the last level has none above it
+        c, d = (_begin(_bin(lo + (FAN ** (k + 1) - 1), k + 1), 1), _begin(_bin(hi, k + 1), 1)) if k + 1 < levels else (b, b)
+        some = F.concat(
+            _whole_numbers(a, F.when(c < d, c).otherwise(b) - 1), F.when(c < d, _whole_numbers(d, b - 1)).otherwise(F.array().cast("array<bigint>"))
+        )
+        out.append(_tagged(some, level + k, side))
+    return F.concat(*out)
+
+
+def _tagged(numbers: Column, level: Column, side: str) -> Column:
+    return F.transform(numbers, lambda i: _wanted(level, i, False, side))
+
+
 def _whole_numbers(lo: Column, hi: Column) -> Column:
     return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
 
@@ -225,38 +272,70 @@ def pair_cycles(
     )
 
 
-def match_signatures(events: DataFrame, signatures: DataFrame) -> DataFrame:
+def match_signatures(
+    events: DataFrame, signatures: DataFrame, scanned: int = SCANNED, indexed: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """The signature of the same direction nearest to each step, in units of its deviation.
 
-    Distances are rounded to 9 places; ties go to the smallest label. Signatures travel to the
-    events as one array per direction, so events are neither shuffled nor multiplied. Should
-    the signatures be too many for that, events meet them in blocks, on the shuffle.
-    Signatures without a deviation cannot be measured against and never match.
+    Distances are rounded to 9 places; ties go to the smallest label. Signatures without a deviation, mean or direction
+    cannot be measured against and never match, and neither do events without a step.
+
+    Up to ``scanned`` signatures travel to the events as one array per direction and each is compared. More of them form a
+    search index (``plans/signature_index.py``) that is sent to every task, ``indexed`` signatures at most: an event is
+    compared with the few that may be nearest. If there are more, the distinct steps go through one index after the other, and
+    the events meet their results on the shuffle.
     """
-    usable = signatures.filter(F.col("std_step") > 0).select("direction", "label", "mean_step", "std_step")
-    known, n_known = pin_small(usable)
-    distance = lambda s: F.round(F.abs(F.col("step") - s["mean_step"]) / s["std_step"], 9)
-    nearest = F.array_min(
-        F.transform("_known", lambda s: F.struct(distance(s).alias("distance"), s["label"].alias("label")))
-    )
-    signature = F.collect_list(F.struct("label", "mean_step", "std_step")).alias("_known")
-    if n_known is not None:
+    usable = signatures.filter((F.col("std_step") > 0) & F.col("mean_step").isNotNull() & F.col("direction").isNotNull())
+    # of equal signatures the smallest label wins
+    usable = usable.groupBy("direction", F.col("mean_step").cast("double").alias("mean_step"), F.col("std_step").cast("double").alias("std_step"))
+    usable = usable.agg(F.min("label").alias("label")).select("direction", "label", "mean_step", "std_step")
+    known, n_known = pin_small(usable, indexed)
+    result = [F.col("_best.label").alias("matched_label"), F.col("_best.distance").alias("distance")]
+    if n_known is not None and n_known <= scanned:
+        signature = F.collect_list(F.struct("label", "mean_step", "std_step")).alias("_near")
         arrays = F.broadcast(known.groupBy("direction").agg(signature))
-        matched = events.join(arrays, "direction", "left").withColumn("_best", nearest)
-    else:
-        block = F.pmod(F.xxhash64("label"), F.lit(SIGNATURE_BLOCKS))
-        arrays = usable.groupBy("direction", block.alias("_block")).agg(signature)
-        matched = (
-            events.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SIGNATURE_BLOCKS - 1))))
-            .join(arrays, ["direction", "_block"], "left")
-            .withColumn("_best", nearest)
-            .groupBy(*events.columns)
-            .agg(F.min("_best").alias("_best"), (F.count(F.lit(1)) / SIGNATURE_BLOCKS).cast("int").alias("_copies"))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies")))
-        )
-    return matched.select(
-        *events.columns, F.col("_best.label").alias("matched_label"), F.col("_best.distance").alias("distance")
-    )
+        return events.join(arrays, "direction", "left").withColumn("_best", _nearest()).select(*events.columns, *result)
+    if n_known is not None:
+        found = events.withColumn("_near", _finalists(known)("direction", "step")).withColumn("_best", _nearest())
+        return found.select(*events.columns, *result)
+    return _match_in_parts(events, known, indexed).select(*events.columns, *result)
+
+
+def _nearest() -> Column:
+    """The nearest of ``_near``: its distance and label."""
+    distance = lambda s: F.round(F.abs(F.col("step") - s["mean_step"]) / s["std_step"], 9)
+    each = F.transform("_near", lambda s: F.struct(distance(s).alias("distance"), s["label"].alias("label")))
+    return F.when(F.col("step").isNotNull(), F.array_min(each))
+
+
+def _finalists(known: DataFrame):
+    """A function of direction and step that gives the signatures that may be nearest."""
+    index = known.sparkSession.sparkContext.broadcast(Signatures(known.toArrow()))
+    kinds = {f.name: f.dataType for f in known.schema}
+    fields = [T.StructField(c, kinds[c]) for c in ("label", "mean_step", "std_step")]
+
+    @F.arrow_udf(T.ArrayType(T.StructType(fields)))
+    def finalists(direction: pa.Array, step: pa.Array) -> pa.Array:
+        return index.value.finalists(direction, step)
+
+    return finalists
+
+
+def _match_in_parts(events: DataFrame, known: DataFrame, indexed: int) -> DataFrame:
+    """``events`` with ``_best``, from the distinct steps and one index for each ``indexed`` signatures or fewer."""
+    parts = -(-known.count() // max(indexed // 2, 1))
+    part = F.pmod(F.xxhash64("direction", "mean_step", "std_step"), F.lit(parts))
+    dealt = stored(known.withColumn("_part", part), "signatures")
+    steps = stored(events.select("direction", "step").filter(F.col("step").isNotNull()).distinct(), "signature-steps")
+    best = None
+    for i in range(parts):
+        own = dealt.filter(F.col("_part") == i).drop("_part")
+        found = steps if best is None else best
+        found = found.withColumn("_near", _finalists(own)("direction", "step")).withColumn("_now", _nearest()).drop("_near")
+        # the smaller distance, then the smaller label; a part without a signature of the direction gives null
+        found = found.withColumn("_best", F.col("_now") if best is None else F.least("_best", "_now")).drop("_now")
+        best = stored(found, "signature-best")
+    return join_null_safe(events, best, ["direction", "step"], "left")
 
 
 def disaggregate(

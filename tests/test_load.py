@@ -5,11 +5,14 @@ import statistics
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from checks import spark_rows
 
 from loadgrain.functions.quantile import exact_quantile
 from loadgrain.operators import load
+from loadgrain.plans import near_pieces
+from loadgrain.plans.signature_index import SignatureIndex
 
 START = datetime(2024, 1, 1)
 SCHEMA = "k bigint, ts timestamp_ntz, tie bigint, power double"
@@ -42,9 +45,9 @@ def test_equal_power_is_one_state(spark):
     ("before", "after", "span"),
     [("6 hours", "6 hours", 400_000), ("2 seconds", "1 seconds", 20), ("10 minutes", "1 seconds", 4_000), ("3 seconds", "90 minutes", 9_000), ("300 milliseconds", "2 seconds", 20)],
 )
-@pytest.mark.parametrize("piece_rows", [1, 12, 1_000])
-def test_transients_equal_brute_force(spark, monkeypatch, before, after, span, piece_rows):
-    monkeypatch.setattr(load, "PIECE_ROWS", piece_rows)
+@pytest.mark.parametrize("cell_rows", [1, 4, 1_000])
+def test_transients_equal_brute_force(spark, monkeypatch, before, after, span, cell_rows):
+    monkeypatch.setattr(load, "CELL_ROWS", cell_rows)
     df, rows = readings(spark, 7, [90, 40], span)
     events = load.detect_events(df, ["k"], 120.0, tie=("tie",))
     found = load.transient_features(df, events, ["k"], before, after, tie=("tie",)).collect()
@@ -61,6 +64,54 @@ def test_transients_equal_brute_force(spark, monkeypatch, before, after, span, p
         assert r["overshoot"] == pytest.approx(max(right) - statistics.fmean(right), abs=1e-9)
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_transients_of_bursts(spark, monkeypatch, small):
+    """Some cells hold far more readings than others; few events, so most readings matter to none."""
+    if not small:
+        monkeypatch.setattr(near_pieces, "pin_small", lambda df: (df, None))
+    monkeypatch.setattr(load, "CELL_ROWS", 2)
+    rng = random.Random(9)
+    times = sorted({rng.randrange(-90_000_000, 90_000_000) for _ in range(150)} | {5_000_000 + 7 * i for i in range(300)})
+    rows = [(k, START + timedelta(microseconds=t), i, rng.random()) for k in (1, None) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    chosen = [r for r in rows if r[0] == 1 and r[2] % 40 == 0]
+    events = spark.createDataFrame(chosen, SCHEMA)
+    found = {r["tie"]: r for r in load.transient_features(df, events, ["k"], "20 seconds", "2 seconds", tie=("tie",)).collect()}
+    assert len(found) == len(chosen)
+    for k, at, tie, _ in chosen:
+        left = [x[3] for x in rows if x[0] == k and at - timedelta(seconds=20) <= x[1] <= at]
+        right = [x[3] for x in rows if x[0] == k and at <= x[1] <= at + timedelta(seconds=2)]
+        r = found[tie]
+        assert (r["n_before"], r["min_before"], r["max_before"]) == (len(left), min(left), max(left))
+        assert (r["n_after"], r["min_after"], r["max_after"]) == (len(right), min(right), max(right))
+        assert r["mean_after"] == pytest.approx(statistics.fmean(right))
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("bits", [1 << 16, 1 << 27])
+def test_rows_with_keys(spark, monkeypatch, small, bits):
+    if not small:
+        monkeypatch.setattr(near_pieces, "pin_small", lambda df: (df, None))
+    rows = spark.range(50_000).selectExpr("if(id % 100 = 7, null, id) as a", "id % 3 as b", "id as _bit")
+    keys = spark.range(200).selectExpr("if(id = 5, null, id * 211) as a", "id * 211 % 3 as b", "id as other")
+    exact = rows.join(keys, rows.a.eqNullSafe(keys.a) & (rows.b == keys.b), "left_semi").count()
+    found = near_pieces.rows_with_keys(rows, keys, ["a", "b"], bits)
+    assert found.columns == rows.columns
+    kept = found.join(keys, found.a.eqNullSafe(keys.a) & (found.b == keys.b), "left_semi").count()
+    assert kept == exact > 300
+    assert found.count() == exact if small else exact <= found.count() < exact + 50_000 * 400 / bits
+
+
+def test_transients_join_before_the_shuffle(spark):
+    """Readings meet the pieces that events look into before they are exchanged."""
+    df, _ = readings(spark, 7, [90, 40], 400_000)
+    events = load.detect_events(df, ["k"], 120.0, tie=("tie",))
+    plan = load.transient_features(df, events, ["k"], "6 hours", "6 hours", tie=("tie",))._jdf.queryExecution().optimizedPlan()
+    text = plan.toString()
+    below = text[text.index("LeftSemi") :]
+    assert "Aggregate" not in below.split("Join LeftSemi")[1].split("LogicalRDD")[0]
+
+
 @pytest.mark.parametrize("limit", [2, 10_000])
 @pytest.mark.parametrize("q", [0.0, 0.37, 0.5, 0.99, 1.0])
 def test_quantile_is_exact(spark, conf, limit, q):
@@ -96,20 +147,57 @@ def events_and_signatures(spark, n_labels: int):
     )
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_match_signatures(spark, monkeypatch, small):
+@pytest.mark.parametrize(("scanned", "indexed"), [(100, 1_000), (0, 1_000), (0, 20)])
+def test_match_signatures(spark, scanned, indexed):
     events, signatures, event_rows, signature_rows = events_and_signatures(spark, 40)
-    if not small:
-        monkeypatch.setattr(load, "pin_small", lambda df: (df, None))
-        monkeypatch.setattr(load, "SIGNATURE_BLOCKS", 3)
     want = []
     for i, direction, step in event_rows:
         near = min((round(abs(step - m) / s, 9), label) for label, d, m, s in signature_rows if d == direction and s)
         want.append((i, near[1], near[0]))
-    got = [(r["id"], r["matched_label"], r["distance"]) for r in load.match_signatures(events, signatures).collect()]
+    got = [(r["id"], r["matched_label"], r["distance"]) for r in load.match_signatures(events, signatures, scanned, indexed).collect()]
     assert sorted(got) == sorted(want)
 
 
+@pytest.mark.parametrize(("scanned", "indexed"), [(100, 1_000), (0, 1_000), (0, 2)])
+def test_events_that_match_nothing(spark, scanned, indexed):
+    events = spark.createDataFrame(
+        [(1, "rise", 5.0), (2, "fall", 5.0), (3, None, 5.0), (4, "rise", None)], "id int, direction string, step double"
+    )
+    signatures = spark.createDataFrame(
+        [(7, "rise", 4.0, 2.0), (6, "rise", 4.0, 2.0), (5, "rise", 4.0, 0.0), (4, None, 5.0, 1.0), (3, "rise", None, 1.0), (2, "other", 1.0, 1.0)],
+        "label int, direction string, mean_step double, std_step double",
+    )
+    for known, first in ((signatures, (6, 0.5)), (signatures.limit(0), (None, None))):
+        found = load.match_signatures(events, known, scanned, indexed).collect()
+        got = {r["id"]: (r["matched_label"], r["distance"]) for r in found}
+        assert got == {1: first, 2: (None, None), 3: (None, None), 4: (None, None)}
+
+
+def test_index_of_many_signatures(spark):
+    """100,000 signatures, some far from all steps, in clusters or with wide deviations, against a scan of all."""
+    rng = np.random.default_rng(4)
+    means = np.concatenate([rng.uniform(-300, 300, 60_000), 5_000 + rng.normal(0, 1e-3, 20_000), rng.normal(50, 1, 20_000)])
+    stds = np.exp(rng.uniform(-6, 4, 100_000))
+    steps = np.concatenate([rng.uniform(-400, 400, 400), [5_000.0, 4_900.0, 1e6, means[7]]])
+    index = SignatureIndex(means, stds)
+    rows, count = index.finalists(steps)
+    ends = np.cumsum(count)
+    for i, step in enumerate(steps):
+        distance = np.abs(step - means) / stds
+        mine = rows[ends[i] - count[i] : ends[i]]
+        assert set(np.flatnonzero(distance <= distance.min() + 1e-9)) <= set(mine.tolist())
+        assert (distance[mine] <= distance.min() * (1 + 1e-9) + 1e-8).all()
+    assert len(rows) < 3 * len(steps)
+    names = [f"L{i:06}" for i in range(100_000)]
+    frame = pd.DataFrame({"label": names, "direction": "rise", "mean_step": means, "std_step": stds})
+    events = spark.createDataFrame([(i, "rise", float(s)) for i, s in enumerate(steps)], "id int, direction string, step double")
+    found = {r["id"]: r for r in load.match_signatures(events, spark.createDataFrame(frame)).collect()}
+    for i, step in enumerate(steps):
+        distance = np.round(np.abs(step - means) / stds, 9)
+        assert found[i]["distance"] == pytest.approx(distance.min(), abs=2e-9, rel=1e-12)
+        assert abs(distance[int(found[i]["matched_label"][1:])] - distance.min()) <= 2e-9 + 1e-12 * distance.min()
+
+
 @pytest.mark.parametrize("k", [1, 3, 12])
 def test_disaggregate_equals_brute_force(spark, k):
     rng = random.Random(k)

@@ -60,11 +60,11 @@ def test_dense_bins(monkeypatch, readings):
     iv = readings.select(
         "k", F.col("tie").alias("interval_id"), F.col("ts").alias("start"), (F.col("ts") + F.expr("INTERVAL 90 MINUTES")).alias("end")
     )
-    both_ways(monkeypatch, intervals, lambda: intervals.overlap_pairs(iv, ["k"], bin_seconds=86_400, bin_rows=3))
+    both_ways(monkeypatch, intervals, lambda: intervals.overlap_pairs(iv, ["k"], bin_rows=3, small_rows=0))
 
 
 def test_dense_pieces(monkeypatch, readings):
-    monkeypatch.setattr(load, "PIECE_ROWS", 3)
+    monkeypatch.setattr(load, "CELL_ROWS", 1)
     events = load.detect_events(readings, ["k"], 150.0, tie=("tie",))
     query = lambda: load.transient_features(readings, events, ["k"], "5 hours", "2 hours", tie=("tie",)).select(
         "k", "tie", "n_before", "min_before", "n_after", "max_after"
