@@ -163,3 +163,63 @@ def ablation(
         deltas[f"{v}_delta"] = F.col(v) - F.col(f"_{v}")
         deltas[f"{v}_relative"] = (F.col(v) - F.col(f"_{v}")) / F.nullif(F.abs(F.col(f"_{v}")), F.lit(0.0))
     return results.withColumns(of_base).withColumns(deltas).drop("_base", *of_base)
+
+
+def metrics_by_level(
+    pred: DataFrame, levels: list[str], by: list[str] | None = None, actual: str = "actual", predicted: str = "predicted"
+) -> DataFrame:
+    """MAE, RMSE and R2 for each of ``levels``, coarse to fine (as user, terminal), and over all rows, per ``by`` (as model).
+
+    ``level`` names the finest key of a row, or ``total``; keys finer than it are null. Predictions are shuffled once, as moments
+    of the finest level that combine before the shuffle; coarser levels are merged from those of the next finer
+    one: numbers and sums add up, and spreads are merged exactly, by what the means of the parts differ.
+    Levels are nested: a terminal with readings of two users is one row for each. Null keys are a group of their own.
+    """
+    by, levels = list(by or []), list(levels)
+    ok = F.col(actual).isNotNull() & F.col(predicted).isNotNull()
+    error, value = F.when(ok, F.col(actual) - F.col(predicted)), F.when(ok, F.col(actual))
+    keys = [*by, *levels]
+    now = pred.groupBy(*keys).agg(
+        F.count(error).alias("n"),
+        F.sum(F.abs(error)).alias("_abs"),
+        F.sum(error * error).alias("_square"),
+        F.avg(value).alias("_mean"),
+        (F.var_pop(value) * F.count(value)).alias("_spread"),
+    )
+    parts = []
+    for depth in range(len(levels), -1, -1):
+        if depth < len(levels):
+            now = _merged(now, [*by, *levels[:depth]])
+        name = levels[depth - 1] if depth else "total"
+        missing = {c: F.lit(None).cast(pred.schema[c].dataType) for c in levels[depth:]}
+        parts.append(now.withColumns({**missing, "level": F.lit(name)}).select("level", *keys, *now.columns[len(by) + depth :]))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    n = F.nullif(F.col("n"), F.lit(0))
+    return rows.select(
+        "level",
+        *keys,
+        "n",
+        (F.col("_abs") / n).alias("mae"),
+        F.sqrt(F.col("_square") / n).alias("rmse"),
+        (1 - F.col("_square") / F.nullif(F.col("_spread"), F.lit(0.0))).alias("r2"),
+    )
+
+
+def _merged(parts: DataFrame, by: list[str]) -> DataFrame:
+    """Moments of groups from those of their parts, after Chan, Golub and LeVeque (1979)."""
+    sums = parts.groupBy(*by).agg(
+        F.sum("n").alias("n"),
+        F.sum("_abs").alias("_abs"),
+        F.sum("_square").alias("_square"),
+        (F.sum(F.col("n") * F.col("_mean")) / F.nullif(F.sum("n"), F.lit(0))).alias("_mean"),
+    )
+    own = parts.select(*by, F.col("n").alias("_n"), F.col("_mean").alias("_part"), F.col("_spread").alias("_inside"))
+    means = sums.select(*by, "_mean")
+    both = join_null_safe(own, means, by) if by else own.withColumn("_mean", means.select("_mean").scalar())
+    apart = F.col("_n") * (F.col("_part") - F.col("_mean")) * (F.col("_part") - F.col("_mean"))
+    spread = both.groupBy(*by).agg((F.sum("_inside") + F.sum(apart)).alias("_spread"))
+    if by:
+        return join_null_safe(sums, spread, by)
+    return sums.withColumn("_spread", spread.select("_spread").scalar())

@@ -349,6 +349,13 @@ ORACLE: dict[str, str] = {
             UNION ALL SELECT '{{"regParam":"0.0","fitIntercept":"False"}}', y, predicted FROM b WHERE "set" = 'val'),
         c AS (SELECT *, avg(actual) OVER (PARTITION BY params) AS m FROM q WHERE predicted IS NOT NULL)
         SELECT params, {METRICS} FROM c GROUP BY params""",
+    "metrics_by_level": f"""WITH {LAGGED},
+        t AS (SELECT q.*, r.terminal_id FROM q JOIN r USING (user_id, ts))
+        SELECT CASE grouping(user_id, terminal_id) WHEN 0 THEN 'terminal_id' WHEN 1 THEN 'user_id' ELSE 'total' END AS level,
+               model, user_id, terminal_id, count(*) AS n, round(avg(abs(actual - predicted)), 6) AS mae,
+               round(sqrt(avg((actual - predicted) ** 2)), 6) AS rmse,
+               round(1 - sum((actual - predicted) ** 2) / nullif(var_pop(actual) * count(*), 0), 3) AS r2
+        FROM t GROUP BY GROUPING SETS ((model, user_id, terminal_id), (model, user_id), (model))""",
     "metrics_per_user": f"""WITH {LAGGED},
         c AS (SELECT *, avg(actual) OVER (PARTITION BY model, user_id) AS m FROM q)
         SELECT model, user_id, {METRICS} FROM c GROUP BY model, user_id""",
@@ -399,3 +406,4 @@ ORACLE: dict[str, str] = {
         SELECT user_id, ts, p_before, p_after, round(step, 6) AS step, direction
         FROM e WHERE ts < time_bucket(INTERVAL 1 MINUTE, {WATERMARK}, TIMESTAMP '1970-01-01')""",
 }
+ORACLE["search_linear"] = ORACLE["search_exact"]

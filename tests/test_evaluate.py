@@ -4,6 +4,7 @@ import random
 from datetime import datetime, timedelta
 
 import numpy as np
+import pandas as pd
 import pytest
 from checks import spark_rows
 from pyspark.sql import functions as F
@@ -180,6 +181,92 @@ def test_search_ranks_every_parameter_set(spark):
     assert drawn.count() == 2 and spark_rows(drawn.select("params")) == spark_rows(again.select("params"))
 
 
+def test_search_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(models, "GROUP", 2)
+    df = lines(spark)
+    grid = {"regParam": [0.0, 0.1, 1.0], "fitIntercept": [True, False]}
+    grouped = spark_rows(models.search(df, "y", ["a", "b"], grid))
+    monkeypatch.setattr(models, "GROUP", 20)
+    assert spark_rows(models.search(df, "y", ["a", "b"], grid)) == grouped
+    assert len(grouped) == 6
+
+
+def noisy(spark, n=600):
+    rng = np.random.default_rng(6)
+    x = rng.normal([1, -2, 1_000, 5, 0], [1, 0.1, 30, 0, 3], (n, 5))
+    y = 2 * x[:, 0] - 7 * x[:, 1] + 0.01 * x[:, 2] + rng.normal(0, 1, n) + 4
+    frame = pd.DataFrame(x, columns=list("abcde")).assign(y=y, set=np.where(np.arange(n) % 3 == 0, "val", "train"))
+    frame.loc[::50, "a"] = np.nan
+    frame.loc[7, "set"] = "test"
+    return spark.createDataFrame(frame).repartition(7)
+
+
+@pytest.mark.parametrize("metric", ["rmse", "mae", "r2"])
+def test_linear_search_equals_fits(spark, metric):
+    df = noisy(spark).withColumn("a", F.when(~F.isnan("a"), F.col("a")))
+    grid = {"regParam": [0.0, 0.3, 2.0], "elasticNetParam": [0.0, 0.5, 1.0], "fitIntercept": [True, False], "standardization": [True, False]}
+    found = {r["params"]: r for r in models.search_linear(df, "y", list("abcde"), grid, metric).collect()}
+    fitted = {r["params"]: r for r in models.search(df, "y", list("abcde"), grid, metric, n_random=12).collect()}
+    assert len(found) == 36 and len(fitted) == 12
+    for params, row in fitted.items():
+        assert found[params]["n"] == row["n"] > 150
+        assert found[params]["rmse"] == pytest.approx(row["rmse"], rel=1e-4)
+        assert found[params]["r2"] == pytest.approx(row["r2"], abs=1e-4)
+        if metric == "mae":
+            assert found[params]["mae"] == pytest.approx(row["mae"], rel=1e-4)
+        else:
+            assert found[params]["mae"] is None
+
+
+def test_linear_search_reads_the_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = noisy(spark)
+    df = df.mapInArrow(count, df.schema)
+    found = models.search_linear(df, "y", list("abc"), {"regParam": [i / 100 for i in range(1_000)]})
+    assert found.count() == 1_000 and read.value == 600
+
+
+def test_linear_search_without_rows(spark):
+    df = noisy(spark)
+    with pytest.raises(ValueError, match="train"):
+        models.search_linear(df.limit(0), "y", ["a"], {"regParam": [0.0]})
+    with pytest.raises(ValueError, match="maxIter"):
+        models.search_linear(df, "y", ["a"], {"maxIter": [3]})
+    row = models.search_linear(df.filter("set <> 'val'"), "y", ["a"], {"regParam": [0.0]}).first()
+    assert (row["n"], row["rmse"]) == (0, None)
+
+
+def test_levels_equal_metrics(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(500):
+        user = rng.choice([1, 2, 3, None])
+        actual = rng.choice([1e6 + rng.random(), rng.gauss(50, 9)]) if user != 3 else 4.0
+        terminal = None if user is None else f"{user}-{rng.randrange(4)}"
+        rows.append((rng.choice("ab"), user, terminal, rng.choice([actual, None]) if i % 9 == 0 else actual, rng.choice([50.0, None, 1e6])))
+    df = spark.createDataFrame(rows, "model string, user_id int, terminal_id string, actual double, predicted double")
+    found = evaluate.metrics_by_level(df, ["user_id", "terminal_id"], ["model"])
+    assert found.columns == ["level", "model", "user_id", "terminal_id", "n", "mae", "rmse", "r2"]
+    found = found.collect()
+    for level, by in (("terminal_id", ["model", "user_id", "terminal_id"]), ("user_id", ["model", "user_id"]), ("total", ["model"])):
+        want = {tuple(r[c] for c in by): r for r in evaluate.metrics(df, by).collect()}
+        got = {tuple(r[c] for c in by): r for r in found if r["level"] == level}
+        assert set(got) == set(want)
+        for key, r in want.items():
+            assert got[key]["n"] == r["n"]
+            for m in ("mae", "rmse", "r2"):
+                assert got[key][m] == (r[m] if r[m] is None else pytest.approx(r[m], rel=1e-9))
+    total = evaluate.metrics_by_level(df, ["user_id"]).filter("level = 'total'").first()
+    assert total["rmse"] == pytest.approx(evaluate.metrics(df).first()["rmse"])
+    assert evaluate.metrics_by_level(df.limit(0), ["user_id"]).filter("n > 0").count() == 0
+
+
 def test_score_runs_the_given_model(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0, 2.0]) for i in range(20)], "i bigint, values array<double>")
     got = models.score(df.repartition(3), lambda: lambda batch: batch.sum(axis=1))
