@@ -164,17 +164,24 @@ def transient_features(
 
     asked = leveled(moments.withColumn("_cell", F.explode(F.array_distinct(F.array(cell(start), cell(at), cell(end))))))
     level, first_us, last_us = F.col("_level"), _begin(F.col("_cell"), base), _begin(F.col("_cell") + 1, base) - 1
-    wanted = []
+    wanted, singles = [], []
     for side, begin, stop in (("before", start, at), ("after", at, end)):
         touched = F.col("_cell").between(cell(begin), cell(stop))
         lo, hi = (_bin(us, level) for us in (F.greatest(begin, first_us), F.least(stop, last_us)))
-        none = F.array().cast(WANTED)
-        wanted.append(F.when(touched, F.array(*[_wanted(level, b, True, "both") for b in (lo, hi)])).otherwise(none))
-        wanted.append(F.when(touched, _covering(lo + 1, hi, level, deepest + 1, side)).otherwise(none))
-        between = _covering(cell(begin) + 1, cell(stop), F.lit(base), top - base + 1, side)
-        wanted.append(F.when(F.col("_cell") == cell(at), between).otherwise(none))
-    wanted = F.array_distinct(F.concat(*wanted))
-    joined = join_null_safe(asked.select(*who, "_at", F.inline(wanted)), facts, [*by_bin, "_single"])
+        singles += [(touched, lo), (touched, hi)]
+        # bins inside the cell, then the cells between, which only the row of the event's own cell asks for
+        wanted.append(_wanted(level, lo + 1, F.when(touched, hi).otherwise(lo), deepest, False, side))
+        own = F.when(F.col("_cell") == cell(at), cell(stop)).otherwise(cell(begin))
+        wanted.append(_wanted(F.lit(base), cell(begin) + 1, own, top - base, False, side))
+    # the bins where the frames begin and end, in the order of time and each once
+    before = None
+    for wants, number in singles:
+        new = wants if before is None else wants & F.coalesce(number > before, F.lit(True))
+        wanted.append(_wanted(level, number, F.when(new, number + 1).otherwise(number), 0, True, "both"))
+        now = F.when(wants, number)
+        before = now if before is None else F.coalesce(now, before)
+    joined = _covering(asked.select(*who, "_at", F.inline(F.array(*wanted))))
+    joined = join_null_safe(joined, facts, [*by_bin, "_single"])
 
     aggs = []
     for side, begin, stop in (("before", start, at), ("after", at, end)):
@@ -203,35 +210,41 @@ def _begin(number: Column, level: int) -> Column:
     return F.call_function("shiftleft", number, F.lit(level * FAN_BITS))
 
 
-WANTED = "array<struct<_level: int, _bin: bigint, _single: boolean, _side: string>>"
-
-
-def _wanted(level: Column, number: Column, single: bool, side: str) -> Column:
+def _wanted(level: Column, lo: Column, hi: Column, above: int, single: bool, side: str) -> Column:
+    """Bins ``lo`` to ``hi - 1`` of a level, or totals of up to ``above`` levels more that make them up."""
     return F.struct(
-        level.cast("int").alias("_level"), number.alias("_bin"), F.lit(single).alias("_single"), F.lit(side).alias("_side")
+        level.cast("int").alias("_level"),
+        lo.alias("_lo"),
+        hi.alias("_hi"),
+        F.lit(above).alias("_above"),
+        F.lit(single).alias("_single"),
+        F.lit(side).alias("_side"),
     )
 
 
-def _covering(lo: Column, hi: Column, level: Column, levels: int, side: str) -> Column:
-    """Totals that together make up the bins ``lo`` to ``hi - 1`` of ``level``, from that level and those above."""
-    out = []
-    for k in range(levels):
-        a, b = _bin(lo + (FAN**k - 1), k), _bin(hi, k)
-        # the bins that whole bins of the level above stand for; the last level has none above it
-        c, d = (_begin(_bin(lo + (FAN ** (k + 1) - 1), k + 1), 1), _begin(_bin(hi, k + 1), 1)) if k + 1 < levels else (b, b)
-        some = F.concat(
-            _whole_numbers(a, F.when(c < d, c).otherwise(b) - 1), F.when(c < d, _whole_numbers(d, b - 1)).otherwise(F.array().cast("array<bigint>"))
-        )
-        out.append(_tagged(some, level + k, side))
-    return F.concat(*out)
-
+def _covering(ranges: DataFrame) -> DataFrame:
+    """``_level`` and ``_bin`` of the bins that together make up ``_lo`` to ``_hi - 1`` of ``_level``, a few of each level.
 
-def _tagged(numbers: Column, level: Column, side: str) -> Column:
-    return F.transform(numbers, lambda i: _wanted(level, i, False, side))
+    Of a level those bins are taken that lie in no whole bin of the next: some at the beginning and some at the end.
+    """
+    k, lo, hi = F.col("_k"), F.col("_lo"), F.col("_hi")
+    up = lambda number, by: _bin(number + _shifted(F.lit(1).cast("bigint"), by) - 1, by)
+    a, b = up(lo, k), _bin(hi, k)
+    c, d = _shifted(up(lo, k + 1), F.lit(1)), _shifted(_bin(hi, k + 1), F.lit(1))
+    each = ranges.filter("_lo < _hi").withColumn("_k", F.explode(F.sequence(F.lit(0), "_above")))
+    each = each.withColumns({"_a": a, "_b": b, "_c": c, "_d": d}).filter("_a < _b")
+    inner = (k < F.col("_above")) & (F.col("_c") < F.col("_d"))
+    parts = F.array(
+        F.struct(F.col("_a").alias("_from"), F.when(inner, F.col("_c")).otherwise(F.col("_b")).alias("_to")),
+        F.struct(F.when(inner, F.col("_d")).otherwise(F.col("_b")).alias("_from"), F.col("_b").alias("_to")),
+    )
+    rest = [c for c in ranges.columns if c not in ("_level", "_lo", "_hi", "_above")]
+    each = each.select(*rest, (F.col("_level") + k).alias("_level"), F.inline(parts)).filter("_from < _to")
+    return each.withColumn("_bin", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1))).drop("_from", "_to")
 
 
-def _whole_numbers(lo: Column, hi: Column) -> Column:
-    return F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+def _shifted(number: Column, levels: Column) -> Column:
+    return F.call_function("shiftleft", number, (levels * FAN_BITS).cast("int"))
 
 
 def load_signatures(events: DataFrame, label: str, step: str = "step") -> DataFrame:
