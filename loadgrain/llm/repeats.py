@@ -28,7 +28,12 @@ OPEN_RUNS = 200_000
 # low bits that hold a place while the smallest hash is sought
 PLACE = np.uint64((1 << 28) - 1)
 
+# sums modulo 2**64 alone give equal hashes to some strings that are made for it; sums modulo this prime tell those apart
+PRIME = (1 << 31) - 1
+PRIME_BASE = 0x2545F491
+
 _powers: dict[str, np.ndarray] = {}
+_prime_powers: dict[str, np.ndarray] = {}
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -42,6 +47,20 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of ``PRIME_BASE`` and of its inverse modulo ``PRIME``."""
+    if len(_prime_powers.get("up", ())) < n:
+        size = 1 << max(n - 1, 1 << 19).bit_length()
+        for name, base in (("up", PRIME_BASE), ("down", pow(PRIME_BASE, -1, PRIME))):
+            x = np.ones(size, np.uint64)
+            done, power = 1, base
+            while done < size:
+                x[done : 2 * done] = x[:done] * np.uint64(power) % np.uint64(PRIME)
+                done, power = 2 * done, power * power % PRIME
+            _prime_powers[name] = x
+    return _prime_powers["up"][:n], _prime_powers["down"][:n]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -56,13 +75,20 @@ class Hashes:
         up, self.down = powers(len(units) + 1)
         self.total = np.zeros(len(units) + 1, np.uint64)
         np.cumsum(units * up[: len(units)], out=self.total[1:])
+        up, self.prime_down = prime_powers(len(units) + 1)
+        terms = (units >> np.uint64(33)) * up[: len(units)]
+        terms = (terms & np.uint64(PRIME)) + (terms >> np.uint64(31))  # the same modulo PRIME, and below 2**32
+        self.prime_total = np.zeros(len(units) + 1, np.uint64)
+        np.cumsum(terms, out=self.prime_total[1:])
 
     def grams(self, q: int) -> np.ndarray:
         """The hash of the ``q`` units from each place on."""
         return (self.total[q:] - self.total[:-q]) * self.down[: len(self.total) - q]
 
     def stretch(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return (self.total[end] - self.total[begin]) * self.down[begin]
+        own = (self.total[end] - self.total[begin]) * self.down[begin]
+        prime = (self.prime_total[end] - self.prime_total[begin]) % np.uint64(PRIME) * self.prime_down[begin]
+        return own ^ mix(prime % np.uint64(PRIME))
 
 
 def lowest(x: np.ndarray, width: int) -> np.ndarray:

@@ -85,3 +85,29 @@ def test_pointers_reuse_the_round_before():
     here, there = refined(ids, 5, 20)
     assert len(here) == len(there) == 40 - 5 - 10
     assert (here[10:] == there[:-10]).all()
+
+
+def made_to_collide(n):
+    """Two strings of ``n`` letters that sums of powers modulo 2**64 can't tell apart, whatever the base."""
+    signs = ["ab"[bin(i).count("1") % 2] for i in range(n)]
+    return "".join(signs), "".join("ba"["ab".index(c)] for c in signs)
+
+
+def test_hashes_of_strings_made_to_collide():
+    a, b = (np.frombuffer(x.encode(), np.uint8).astype(np.uint64) << np.uint64(40) for x in made_to_collide(4096))
+    whole = repeats.Hashes(np.concatenate([a, b]))
+    begin = np.array([0, 4096])
+    sums = whole.total[begin + 4096] - whole.total[begin]
+    assert (sums * whole.down[begin])[0] == (sums * whole.down[begin])[1]
+    found = whole.stretch(begin, begin + 4096)
+    assert found[0] != found[1]
+    again = repeats.Hashes(np.concatenate([b[:77], a, b])).stretch(begin + 77, begin + 77 + 4096)
+    assert again.tolist() == found.tolist()
+
+
+def test_words_made_to_collide_are_kept(docs):
+    """Two words of 1,024 letters among 34 others: different passages, none is removed."""
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(i, f"{rest} {word}") for i, word in enumerate(made_to_collide(1024))]
+    assert passages(docs(rows), 35, 15) == sorted(plain.repeated_words(rows, 35))
+    assert all(r[2] == 0 for r in passages(docs(rows), 35, 15))
