@@ -212,11 +212,31 @@ def test_disaggregate_equals_brute_force(spark, k):
         assert got[i] == min((abs(total - s), n_on, state) for s, n_on, state in states)
 
 
+@pytest.mark.parametrize("k", [13, 20])
+def test_many_appliances_equal_brute_force(spark, k):
+    rng = random.Random(k)
+    rated = [rng.choice([100, 200, 250, 300, 1_000, rng.randrange(1, 10_000)]) for _ in range(k)]
+    states = np.arange(1 << k)
+    sums = sum((states >> i & 1) * r for i, r in enumerate(rated))
+    totals = [rng.randrange(-50, sum(rated) + 200) for _ in range(60)] + [0, sum(rated), 450, 450]
+    mains = spark.createDataFrame([*enumerate(totals), (999, None)], "id bigint, total bigint")
+    appliances = spark.createDataFrame([(f"a{i:02}", r) for i, r in enumerate(rated)], "label string, rated bigint")
+    found = load.disaggregate(mains, appliances, k_max=20).collect()
+    got = {r["id"]: (r["error"], r["n_on"], r["state"]) for r in found}
+    assert len(found) == len(got) == len(totals) + 1 and got[999] == (None, None, None)
+    for i, total in enumerate(totals):
+        error = np.abs(total - sums)
+        best = states[error == error.min()]
+        assert got[i] == min((int(error.min()), int(s).bit_count(), int(s)) for s in best)
+
+
 def test_disaggregate_refuses_too_many_appliances(spark):
     mains = spark.createDataFrame([(1, 5)], "id bigint, total bigint")
     appliances = spark.createDataFrame([(f"a{i:02}", 1) for i in range(13)], "label string, rated bigint")
     with pytest.raises(ValueError, match="more than 12"):
         load.disaggregate(mains, appliances)
+    with pytest.raises(ValueError, match="k_max"):
+        load.disaggregate(mains, appliances, k_max=41)
 
 
 @pytest.mark.parametrize("limit", [2, 10_000])
