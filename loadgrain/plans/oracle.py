@@ -236,6 +236,17 @@ ORACLE: dict[str, str] = {
                CAST(hour(ts) AS INTEGER) AS hour, CAST(isodow(ts) - 1 AS INTEGER) AS weekday
         FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id),
              f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""",
+    "long_rolls": f"""WITH {READINGS}
+        SELECT user_id, ts, power, event_id,
+               CASE WHEN count(*) OVER f = 20 THEN round(avg(power) OVER f, 6) END AS roll_mean_20,
+               CASE WHEN count(*) OVER f = 20 THEN round(stddev_pop(power) OVER f, 6) END AS roll_std_20,
+               CASE WHEN count(*) OVER f = 20 THEN min(power) OVER f END AS roll_min_20,
+               CASE WHEN count(*) OVER f = 20 THEN max(power) OVER f END AS roll_max_20
+        FROM r WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW)""",
+    "running": f"""WITH {READINGS}
+        SELECT user_id, ts, power, event_id, count(power) OVER f AS run_n, round(avg(power) OVER f + 1e-9, 6) AS run_mean,
+               min(power) OVER f AS run_min, max(power) OVER f AS run_max
+        FROM r WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     "fit_scaler": f"""WITH {SCALERS}
         SELECT user_id, round("offset", 6) AS "offset", round(scale, 6) AS scale, n FROM f""",
     "apply_scaler": f"""WITH {SCALERS}

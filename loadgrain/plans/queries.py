@@ -131,6 +131,17 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def long_rolls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = series.long_rolls(fx.readings(spark, sf_dir), USER, 20, tie=TIE)
+    return rounded(found.drop("terminal_id", "event_type"), "roll_mean_20", "roll_std_20")
+
+
+def running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = series.running(fx.readings(spark, sf_dir), USER, tie=TIE)
+    # a mean half-way between two roundings goes up, whatever its last digits are
+    return found.drop("terminal_id", "event_type").withColumn("run_mean", r6(F.col("run_mean") + 1e-9))
+
+
 # ingest
 
 
@@ -447,6 +458,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "time_windows_hourly": time_windows_hourly,
     "time_windows_sliding": time_windows_sliding,
     "features": features,
+    "long_rolls": long_rolls,
+    "running": running,
     "fit_scaler": fit_scaler,
     "apply_scaler": apply_scaler,
     "apply_scaler_train": apply_scaler_train,

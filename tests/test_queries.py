@@ -16,6 +16,9 @@ ORDERED = [
     "resample_forward",
     "row_windows",
     "features",
+    "long_rolls",
+    "running",
+    "overlap_counts",
     "detect_events",
     "steady_states",
     "pair_cycles",

@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from checks import spark_rows
 from pyspark.sql import functions as F
 
-from loadgrain.operators.series import features, resample, rollup_granularity
+from loadgrain.operators.series import features, long_rolls, resample, rollup_granularity, running
 from loadgrain.operators.windows import row_windows, time_windows
 from loadgrain.plans.series_split import CHUNK, split_series
 
@@ -159,3 +161,61 @@ def test_long_lags_over_many_chunks(spark, conf, lag):
     want = spark_rows(features(df, ["k"], [lag], [lag + 1], tie=("tie",)))
     conf("spark.loadgrain.seriesRows", 50)
     assert spark_rows(features(df, ["k"], [lag], [lag + 1], tie=("tie",))) == want
+
+
+@pytest.mark.parametrize("limit", [7, 100_000])
+@pytest.mark.parametrize("n", [1, 3, 40, 95, 500])
+def test_long_rolls_equal_pandas(spark, conf, limit, n):
+    """Frames shorter and longer than a chunk, a block and a series; nulls, null keys, equal timestamps."""
+    conf("spark.loadgrain.seriesRows", limit)
+    rng = np.random.default_rng(n)
+    size = 300
+    frame = pd.DataFrame(
+        {
+            "k": rng.choice([1, 1, 1, 2, 3], size),
+            "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(rng.integers(0, 400_000, size) // 60 * 60, unit="s"),
+            "tie": np.arange(size),
+            "power": np.where(rng.random(size) < 0.1, np.nan, 1e6 + rng.random(size)),
+        }
+    )
+    frame.loc[frame["k"] == 3, "power"] = np.nan
+    rows = [(None if k == 2 else int(k), ts.to_pydatetime(), int(tie), None if np.isnan(x) else float(x)) for k, ts, tie, x in frame.to_numpy()]
+    table = spark.createDataFrame(rows, "k bigint, ts timestamp_ntz, tie bigint, power double")
+    found = long_rolls(table, ["k"], n, tie=("tie",)).toPandas().sort_values("tie").reset_index(drop=True)
+    assert len(found) == size
+    order = frame.sort_values(["k", "ts", "tie"])
+    for _, own in order.groupby("k"):
+        rolling = own["power"].rolling(n, min_periods=1)
+        full = np.arange(len(own)) >= n - 1
+        got = found.loc[own.index]
+        for name, want in (("mean", rolling.mean()), ("min", rolling.min()), ("max", rolling.max()), ("std", rolling.std(ddof=0))):
+            want = np.where(full, want, np.nan)
+            assert np.allclose(got[f"roll_{name}_{n}"].astype(float), want, rtol=1e-12, atol=1e-6, equal_nan=True), name
+
+
+def test_a_day_of_seconds_in_one_frame(spark, conf):
+    """A frame of 86,400 rows over a cut series of 200,000: linear, and the same as from running sums."""
+    conf("spark.loadgrain.seriesRows", 20_000)
+    rows = spark.range(200_000).selectExpr(
+        "1 as k", "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as ts", "cast((id * 7919) % 1000003 as double) as power"
+    )
+    found = features(rows, ["k"], [1], [86_400]).selectExpr("unix_date(date(ts)) as d", "*").orderBy("ts").toPandas()
+    power = (np.arange(200_000) * 7919 % 1_000_003).astype(float)
+    total = np.concatenate([[0], np.cumsum(power)])
+    for i in (0, 86_398, 86_399, 86_400, 123_456, 199_999):
+        row = found.iloc[i]
+        if i < 86_399:
+            assert np.isnan(row["roll_mean_86400"])
+            continue
+        own = power[i - 86_399 : i + 1]
+        assert row["roll_mean_86400"] == pytest.approx((total[i + 1] - total[i - 86_399]) / 86_400)
+        assert (row["roll_min_86400"], row["roll_max_86400"]) == (own.min(), own.max())
+        assert row["roll_std_86400"] == pytest.approx(own.std()) and row["lag_1"] == power[i - 1]
+
+
+def test_running_without_values(spark):
+    rows = [(1, datetime(2024, 1, 1, i), None if i % 2 else float(i)) for i in range(5)]
+    found = running(spark.createDataFrame(rows, "k int, ts timestamp_ntz, power double"), ["k"]).orderBy("ts").collect()
+    assert [(r["run_n"], r["run_mean"], r["run_min"], r["run_max"]) for r in found] == [
+        (0, None, None, None), (1, 0.0, 0.0, 0.0), (1, 0.0, 0.0, 0.0), (2, 1.0, 0.0, 2.0), (2, 1.0, 0.0, 2.0)
+    ]
