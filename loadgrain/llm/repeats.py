@@ -85,8 +85,12 @@ class Hashes:
         """The hash of the ``q`` units from each place on."""
         return (self.total[q:] - self.total[:-q]) * self.down[: len(self.total) - q]
 
+    def sums(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The hash of each stretch as ``grams`` makes it, for short stretches."""
+        return (self.total[end] - self.total[begin]) * self.down[begin]
+
     def stretch(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        own = (self.total[end] - self.total[begin]) * self.down[begin]
+        own = self.sums(begin, end)
         prime = (self.prime_total[end] - self.prime_total[begin]) % np.uint64(PRIME) * self.prime_down[begin]
         return own ^ mix(prime % np.uint64(PRIME))
 

@@ -118,7 +118,7 @@ class Form:
             use = (self.literals[stop] - self.literals[at]) * 2 >= size
             text, at, stop = text[use], at[use], stop[use]
         salt = (stop - at).astype(np.uint64) + np.uint64(self.number << 32)
-        return text, at, stop, mix(self.hashes.stretch(at, stop) + salt)
+        return text, at, stop, mix(self.hashes.sums(at, stop) + salt)
 
     def among(self, size: int, length: int, known: Known) -> tuple[np.ndarray, ...]:
         """Those of ``windows(size, length)`` with a known hash; the few that have one are looked at further."""
