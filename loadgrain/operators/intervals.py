@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from loadgrain.functions.columns import epoch_micros, join_null_safe
 from loadgrain.plans.series_split import split_series
-from loadgrain.plans.small import MAX_BROADCAST_ROWS, pin_small
+from loadgrain.plans.small import pin_small
 
 # starts of one bin in a task; a bin with more is spread over several
 BIN_ROWS = 100_000
+# rows of the levels that go through the driver to all starts; there each takes several hundred bytes for a while
+SMALL_ROWS = 100_000
 
 
 def _valid(iv: DataFrame, key: list[str], interval_id: str, start: str, end: str) -> DataFrame:
@@ -35,7 +37,7 @@ def overlap_pairs(
     start: str = "start",
     end: str = "end",
     bin_rows: int = BIN_ROWS,
-    small_rows: int = MAX_BROADCAST_ROWS,
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Pairs of intervals of one key that overlap; touching ones do not.
 

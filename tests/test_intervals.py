@@ -4,8 +4,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
+from loadgrain.operators import intervals as operators_intervals
 from loadgrain.operators.intervals import invalid_intervals, merge_intervals, overlap_counts, overlap_pairs
+from loadgrain.plans.small import pin_small
 
 START = datetime(2024, 1, 1)
 SCHEMA = "key bigint, interval_id bigint, start timestamp_ntz, end timestamp_ntz"
@@ -118,3 +121,26 @@ def test_touching_is_no_overlap_but_one_island(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     assert overlap_pairs(df, ["key"]).count() == 0
     assert merge_intervals(df, ["key"]).count() == 1
+
+
+def test_only_small_levels_go_through_the_driver(spark, monkeypatch):
+    """Levels of many intervals are shuffled: fetched and broadcast, they take several times their size in the driver."""
+    fetched = []
+
+    def pinned(df, *bounds):
+        found = pin_small(df, *bounds)
+        fetched.append(df.count() if found[1] is not None else 0)
+        return found
+
+    monkeypatch.setattr(operators_intervals, "pin_small", pinned)
+    start = F.expr(f"timestamp_ntz'{START}'")
+    second = lambda n: F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
+    length = F.when(F.col("id") % 1_000 == 0, 40).otherwise(2)
+    rows = spark.range(120_000).select(
+        (F.col("id") % 100).alias("key"),
+        F.col("id").alias("interval_id"),
+        (start + second(F.col("id"))).alias("start"),
+        (start + second(F.col("id") + length)).alias("end"),
+    )
+    assert overlap_pairs(rows, ["key"]).count() == 0
+    assert 0 < sum(fetched) <= 100_000
