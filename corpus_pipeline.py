@@ -25,7 +25,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the first document of each group of near copies: five-word shingles, a similarity of 0.8 or more."""
+    """Keeps the first document of each group of near copies: five-word shingles, a similarity of 0.8 or more.
+
+    SimHash fingerprints that are close are found at anchors and compared as sets; the rest by their rare shingles.
+    """
     return drop_near_copies(docs, words=5, least=0.8)
 
 

@@ -49,3 +49,19 @@ def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         left = root[a] != root[b]
         a, b = a[left], b[left]
     return root
+
+
+def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which of the links from a to b, of the nodes 0 .. n-1, connect all that they all connect, without a circle."""
+    root, todo, kept = np.arange(n), np.arange(len(a)), [np.zeros(0, np.int64)]
+    while True:
+        todo = todo[root[a[todo]] != root[b[todo]]]
+        if not len(todo):
+            return np.sort(np.concatenate(kept))
+        # the first link that leaves each component; no circle can be made of such links
+        first = np.full(n, len(a))
+        np.minimum.at(first, root[a[todo]], todo)
+        np.minimum.at(first, root[b[todo]], todo)
+        own = np.unique(first[first < len(a)])
+        kept.append(own)
+        root = roots(n, root[a[own]], root[b[own]])[root]

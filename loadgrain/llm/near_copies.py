@@ -1,4 +1,8 @@
-"""Near copies by the Jaccard similarity of word shingles, found whole: rare shingles meet, sets are compared."""
+"""Near copies by the Jaccard similarity of word shingles, found whole.
+
+SimHash fingerprints of the sets meet at the anchors of ``simhash.py``, and their sets are compared. A similarity can be
+high with fingerprints further apart, so what the anchors leave unconnected meets by its rare shingles.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +17,12 @@ from loadgrain.llm.buckets import split_hot, whole_buckets
 from loadgrain.llm.common import runs, steps, written
 from loadgrain.llm.components import components
 from loadgrain.llm.repeats import Hashes, mix, one_key
+from loadgrain.llm.simhash import simhash_links
 from loadgrain.llm.suffixes import UNITS
 from loadgrain.llm.words import joined_words
 
+# bits by which fingerprints differ that meet at an anchor
+MOST_BITS = 4
 # documents whose shingles are counted to tell common ones; a count from which one is common, and how many are kept
 SAMPLED = 20_000
 COMMON = 5
@@ -55,6 +62,17 @@ def digests(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(total[first[1:]] - total[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64)
 
 
+def majorities(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The SimHash of each set: a bit is one if more than half of the members' hashes have it; of an empty set, zero."""
+    size = np.diff(first)
+    total = np.zeros((len(size), 64), np.int64)
+    full = np.flatnonzero(size)
+    if len(full):
+        bits = np.unpackbits(hashes.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        total[full] = np.add.reduceat(bits, first[full], axis=0, dtype=np.int64)
+    return np.packbits(total * 2 > size[:, None], axis=1).view(">u8").ravel().astype(np.uint64).view(np.int64)
+
+
 def sketches(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
     """For each set the parity of its members by their lowest bits: about one bit for each member.
 
@@ -126,6 +144,8 @@ def near_by_sketch(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarr
     length = np.minimum(own_numbers(n), sketch.shape[1])
     for short in np.unique(length):
         which = np.flatnonzero(out & (np.minimum(length[a], length[b]) == short))
+        if not len(which):
+            continue
         x, y = (np.bitwise_xor.reduce(sketch[side[which]].reshape(len(which), -1, short), axis=1) for side in (a, b))
         out[which] &= np.bitwise_count((x ^ y).view(np.uint64)).sum(axis=1) <= most[which]
     return out
@@ -196,14 +216,28 @@ def _common(docs: DataFrame, n: int, words: int) -> tuple[np.ndarray, np.ndarray
     return hashes[order], np.log2(found.column("count").to_numpy()[order]).astype(np.int64)
 
 
-def copy_links(docs: DataFrame, classes: DataFrame, words: int, least: float, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def anchored_pairs(classes: DataFrame, most: int, bucket_rows: int) -> DataFrame:
+    """Pairs ``a``, ``b`` (digests) that connect the sets whose fingerprints are at most ``most`` bits apart."""
+    prints = written(classes.groupBy("fingerprint").agg(F.min("digest").alias("least")), "near-prints")
+    links = simhash_links(prints.select("fingerprint"), most, bucket_rows=bucket_rows).distinct()
+    for side in ("b", "a"):
+        links = links.join(prints.select(F.col("fingerprint").alias(side), F.col("least").alias(f"least_{side}")), side)
+    apart = links.select(F.least("least_a", "least_b").alias("a"), F.greatest("least_a", "least_b").alias("b"))
+    same = classes.join(prints, "fingerprint").filter("digest <> least")
+    return apart.union(same.select(F.col("least").alias("a"), F.col("digest").alias("b")))
+
+
+def copy_links(
+    docs: DataFrame, classes: DataFrame, words: int, least: float, bucket_rows: int = BUCKET_ROWS, most: int = MOST_BITS
+) -> DataFrame:
     """Links ``a``, ``b`` (digests) that connect the sets of shingles with a similarity of at least ``least``.
 
-    Texts that share one of their rare shingles meet. First each is compared with the smallest, the largest and the
-    next one there, so that a group of copies becomes one in a few comparisons for each; then every pair that is not
-    connected by then is compared. Where they meet, rows carry a small sketch of their sets, and only pairs are written whose
+    Sets whose fingerprints are at most ``most`` bits apart are found at common anchors and compared; what they connect
+    is not compared again. For the rest, texts that share one of their rare shingles meet. First each is compared with
+    the smallest, the largest and the next one there, so that a group of copies becomes one in a few comparisons
+    for each; then every pair that is not connected by then is compared. Where they meet, rows carry a small sketch of their sets, and only pairs are written whose
     sizes and sketches allow the similarity; full sketches then leave few but the pairs that have it, for which the sets are sent.
-    ``classes`` has a row for each set: its digest, a key of ``docs``, size and sketches.
+    ``classes`` has a row for each set: its digest, a key of ``docs``, size, fingerprint and sketches.
     """
     spark = docs.sparkSession
     n = classes.count()
@@ -224,16 +258,17 @@ def copy_links(docs: DataFrame, classes: DataFrame, words: int, least: float, bu
 
     def some_pairs(batches):
         for rows, bounds in whole_buckets(batches, keys):
-            digest, n = rows.column("digest").to_numpy(), rows.column("n").to_numpy()
+            digest, n, root = (rows.column(c).to_numpy() for c in ("digest", "n", "root"))
             small = np.stack([rows.column(c).to_numpy() for c in SMALL], axis=1)
             row, size = np.arange(len(n)), np.diff(bounds)
             last = np.repeat(bounds[1:] - 1, size)
             # the next way is only gone where the one before shows the row to be unlike
             for one, other in ((np.repeat(bounds[:-1], size), row), (row, np.minimum(row + 1, last)), (row, last)):
                 a, b = one[row], other[row]
-                near = near_by_sketch(small, n, a, b, least) & (a != b)
+                known = (root[a] == root[b]) & (a != b)
+                near = near_by_sketch(small, n, a, b, least) & (a != b) & ~known
                 yield _pairs(digest[a[near]], digest[b[near]])
-                row = row[~near]
+                row = row[~near & ~known]
                 if not len(row):
                     break
 
@@ -290,19 +325,23 @@ def copy_links(docs: DataFrame, classes: DataFrame, words: int, least: float, bu
         both = pairs.select("a", "b", "own_a", "own_b")
         return written(both.mapInArrow(compare, "a long, b long"), f"near-links-{name}")
 
+    def rooted(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        found = components(links, name).withColumnRenamed("node", "digest")
+        return rows.join(found, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
+
+    anchored = alike(anchored_pairs(classes, most, bucket_rows), "anchored")
+    some = rooted(classes.select("digest", *SMALL), anchored, "near-roots-anchored")
     rows = docs.select("text").mapInArrow(prefix, "shingle long, digest long, n long").distinct()
     if n > bucket_rows:  # no bucket holds more than all sets
         rows = split_hot(written(rows, "near-rows"), keys, F.col("digest"), bucket_rows).drop("chunk")
         keys = ["shingle", "first", "second"]
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "n", "digest")
     met = dealt.mapInArrow(meeting, dealt.schema)
-    met = written(met.join(classes.select("digest", *SMALL), "digest"), "near-rows-met")
+    met = written(met.join(some, "digest"), "near-rows-met")
     order = met.repartition(*keys).sortWithinPartitions(*keys, "n", "digest")
-    links = alike(order.mapInArrow(some_pairs, "a long, b long"), "some")
-    found = components(links, "near-roots").withColumnRenamed("node", "digest")
-    rooted = met.drop(*SMALL).join(found, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-    rooted = rooted.repartition(*keys).sortWithinPartitions(*keys)
-    left = written(rooted.mapInArrow(mixed, rooted.schema), "near-rows-left")
+    links = anchored.union(alike(order.mapInArrow(some_pairs, "a long, b long"), "some"))
+    dealt = rooted(met.drop(*SMALL, "root"), links, "near-roots").repartition(*keys).sortWithinPartitions(*keys)
+    left = written(dealt.mapInArrow(mixed, dealt.schema), "near-rows-left")
     left = left.join(classes.select("digest", *WIDE), "digest").repartition(*keys).sortWithinPartitions(*keys, "n", "digest")
     return links.union(alike(left.mapInArrow(other_pairs, "a long, b long"), "other"))
 
@@ -312,7 +351,7 @@ def drop_near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, bucket
 
     A text is lower-cased (A-Z), cut into words at blanks, and taken as the set of its shingles of ``words`` words;
     fewer words are one shingle. Texts are near copies if the Jaccard similarity of their sets is at least ``least``,
-    and groups are their connected components. All such pairs are found, none is left to chance but that hashes
+    whether their fingerprints are close or not, and groups are their connected components. All such pairs are found, none is left to chance but that hashes
     of 64 bits stand for shingles. Null, empty and blank texts are copies of each other. A table without rows gives none.
     """
     own = [F.col(c).alias(f"_{c}") for c in docs.columns if c not in ("doc_id", "text")]  # none may be named key
@@ -322,16 +361,17 @@ def drop_near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, bucket
         for batch in steps(batches):
             hashes, first = shingle_sets(batch.column(1), words)
             own = sketches(hashes, first)
-            arrays = [batch.column(0), pa.array(digests(hashes, first)), pa.array(np.diff(first)), pa.array(own, pa.binary())]
+            arrays = [batch.column(0), pa.array(digests(hashes, first)), pa.array(np.diff(first))]
+            arrays += [pa.array(majorities(hashes, first)), pa.array(own, pa.binary())]
             for names in (SMALL, WIDE):
                 numbers = np.array([folded(x, len(names)) for x in own], np.int64).reshape(-1, len(names))
                 arrays += [pa.array(numbers[:, i]) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["key", "digest", "n", "sketch", *SMALL, *WIDE])
+            yield pa.RecordBatch.from_arrays(arrays, names=["key", "digest", "n", "fingerprint", "sketch", *SMALL, *WIDE])
 
-    schema = f"key long, digest long, n long, sketch binary, {', '.join(f'{c} long' for c in (*SMALL, *WIDE))}"
+    schema = f"key long, digest long, n long, fingerprint long, sketch binary, {', '.join(f'{c} long' for c in (*SMALL, *WIDE))}"
     prints = keyed.select("key", "text").mapInArrow(make, schema)
     # texts of one digest have one set, so any of their sketches will do
-    same = [F.min_by(c, "key").alias(c) for c in ("n", "sketch", *SMALL, *WIDE)]
+    same = [F.min_by(c, "key").alias(c) for c in ("n", "fingerprint", "sketch", *SMALL, *WIDE)]
     classes = written(prints.groupBy("digest").agg(F.min("key").alias("key"), *same), "near-classes")
     found = components(copy_links(keyed, classes, words, least, bucket_rows), "near-copies").withColumnRenamed("node", "digest")
     classes = classes.select("digest", "key").join(found, "digest", "left")

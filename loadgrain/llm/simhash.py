@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loadgrain.llm.buckets import split_hot, whole_buckets
 from loadgrain.llm.common import small_batches, steps, written
-from loadgrain.llm.components import components, roots
+from loadgrain.llm.components import components, forest
 from loadgrain.llm.repeats import one_key
 from loadgrain.llm.words import joined_words
 
@@ -110,21 +110,23 @@ def linked(prints: np.ndarray, home: np.ndarray, bounds: np.ndarray, most: int)
     """Within each bucket, with homes before visitors: links that connect what lies within ``most`` bits.
 
     Small buckets are compared pair by pair. In a large one a search spreads from link to link and compares
-    only with what has not been reached, so a dense group costs little; links form a forest either way.
+    only with what has not been reached, so a dense group costs little. Links form a forest either way, and each is one
+    of two fingerprints within ``most`` bits.
     """
     size = np.diff(bounds)
     left, right = [], []
     for k in np.flatnonzero(size > 2000):
         at = np.arange(bounds[k], bounds[k + 1])
         while len(at) and home[at[0]]:
-            root, front, at = at[0], at[:1], at[1:]
+            front, at = at[:1], at[1:]
             while len(front) and len(at):
-                near = np.zeros(len(at), bool)
+                by = np.full(len(at), -1)
                 for x in front:
-                    rest = np.flatnonzero(~near)
-                    near[rest] = np.bitwise_count(prints[at[rest]] ^ prints[x]) <= most
+                    rest = np.flatnonzero(by < 0)
+                    by[rest[np.bitwise_count(prints[at[rest]] ^ prints[x]) <= most]] = x
+                near = by >= 0
                 front, at = at[near], at[~near]
-                left.append(np.full(len(front), root))
+                left.append(by[near])
                 right.append(front)
     row = np.arange(len(prints))
     end = np.repeat(bounds[1:], size)
@@ -143,9 +145,9 @@ def linked(prints: np.ndarray, home: np.ndarray, bounds: np.ndarray, most: int)
         at = stop
     if not left:
         return row[:0], row[:0]
-    root = roots(len(prints), np.concatenate(left), np.concatenate(right))
-    inner = np.flatnonzero(root != row)
-    return inner, root[inner]
+    one, other = np.concatenate(left), np.concatenate(right)
+    kept = forest(len(prints), one, other)
+    return one[kept], other[kept]
 
 
 def simhash_links(prints: DataFrame, most: int = 4, blocks: tuple | None = None, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

@@ -136,3 +136,47 @@ def test_words_made_to_collide_are_unlike(docs):
     rows = [(1, a), (2, b), (3, a), (4, f"{a} {b} x y z"), (5, f"{b} {a} x y z")]
     got = drop_near_copies(docs(rows)).collect()
     assert sorted(r["doc_id"] for r in got) == [1, 2, 4, 5]
+
+
+def test_close_fingerprints_meet_at_anchors(spark, docs, monkeypatch):
+    """The anchors give pairs of sets, and all that they connect; the rare shingles see only what is left."""
+    rows = [r for r in changed_copies(9, 120) if len(shingles(r[1])) > 1]
+    words = [f"long{i}" for i in range(600)]
+    rows += [(1_000 + i, " ".join([*words[:i], "other", *words[i + 1 :]])) for i in range(0, 600, 60)]
+    seen = []
+
+    def anchored(classes, most, bucket_rows):
+        found = near_copies_anchored(classes, most, bucket_rows)
+        prints = {r["digest"]: r["fingerprint"] & (2**64 - 1) for r in classes.collect()}
+        seen.append((prints, most, [(r["a"], r["b"]) for r in found.collect()]))
+        return found
+
+    near_copies_anchored = near_copies.anchored_pairs
+    monkeypatch.setattr(near_copies, "anchored_pairs", anchored)
+    got = drop_near_copies(docs(rows))
+    assert sorted((r["doc_id"], r["text"]) for r in got.collect()) == first_of_each(rows)[0]
+    prints, most, pairs = seen[0]
+    close = [(a, b) for a in prints for b in prints if a < b and bin(prints[a] ^ prints[b]).count("1") <= most]
+    number = {d: i for i, d in enumerate(sorted(prints))}
+    want = plain.roots(len(number), [(number[b], number[a]) for a, b in close])
+    assert len(close) > 10
+    assert plain.roots(len(number), [(number[max(p)], number[min(p)]) for p in pairs]) == want
+
+
+def test_fingerprints_are_majorities():
+    texts = pa.array(["a b c d e f g h", None, "x", "a b c d e a b c d e a b c d e"])
+    hashes, first = near_copies.shingle_sets(texts, 5)
+    want = []
+    for begin, end in zip(first[:-1], first[1:], strict=True):
+        own = [int(h) for h in hashes[begin:end]]
+        want.append(sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in own) > len(own)))
+    assert near_copies.majorities(hashes, first).view(np.uint64).tolist() == want
+    assert near_copies.majorities(hashes[:0], np.zeros(2, np.int64)).tolist() == [0]
+
+
+def test_no_pair_of_a_length_is_left():
+    """Sizes alone may rule out every pair of sketches of one length."""
+    sketch, n = np.zeros((3, len(near_copies.WIDE)), np.int64), np.array([10, 300, 900])
+    assert not near_copies.near_by_sketch(sketch, n, np.array([0, 1]), np.array([1, 2]), 0.8).any()
+    none = np.zeros(0, np.int64)
+    assert len(near_copies.near_by_sketch(sketch, n, none, none, 0.8)) == 0
