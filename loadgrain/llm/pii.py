@@ -5,7 +5,7 @@ from __future__ import annotations
 import bisect
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -387,9 +387,15 @@ def find_personal_data(docs: DataFrame, labelled: str = LABELLED) -> DataFrame:
     One pass without a shuffle. A null or empty text has no spans, repeated rows and null ids are rows like any
     other, an empty table gives no rows. Columns named ``base`` or ``added`` in ``docs`` are replaced.
     """
+    docs = small_batches(docs).drop("base", "added")
+    schema = docs.limit(0).withColumns({c: F.lit(None).cast(SPANS) for c in ("base", "added")}).schema
+    return docs.mapInArrow(_finder(docs, labelled), schema)
+
+
+def _finder(docs: DataFrame, labelled: str = LABELLED) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What ``find_personal_data`` does with batches of ``docs``."""
     model = train_crf(labelled_rows(labelled))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = small_batches(docs).drop("base", "added")
     at = docs.columns.index("text")
     names = (*BASE_KINDS, *MODEL_KINDS)
 
@@ -410,8 +416,7 @@ def find_personal_data(docs: DataFrame, labelled: str = LABELLED) -> DataFrame:
     spans = pa.list_(
         pa.struct([("start", pa.int64()), ("rank", pa.int32()), ("end", pa.int64()), ("kind", pa.string())])
     )
-    schema = docs.limit(0).withColumns({c: F.lit(None).cast(SPANS) for c in ("base", "added")}).schema
-    return docs.mapInArrow(find, schema)
+    return find
 
 
 def mask(text: str, spans: list) -> str:
@@ -438,20 +443,19 @@ def united(spans: list) -> list:
 def mask_personal_data(docs: DataFrame) -> DataFrame:
     """The same columns and rows with every span of ``find_personal_data`` masked in ``text``; a null text stays null.
 
-    Overlapping spans are masked as one, so that nothing of the later one is left.
+    Overlapping spans are masked as one, so that nothing of the later one is left. One Python worker finds and masks.
     """
-    found = find_personal_data(docs)
-    at, base, added = (found.columns.index(c) for c in ("text", "base", "added"))
+    find = _finder(small_batches(docs))
+    at, base = docs.columns.index("text"), len(docs.columns)
 
     def change(batches):
-        for batch in steps(batches):
+        for batch in find(batches):
             texts = []
-            rows = zip(*(batch.column(c).to_pylist() for c in (at, base, added)), strict=True)
+            rows = zip(*(batch.column(c).to_pylist() for c in (at, base, base + 1)), strict=True)
             for text, own, more in rows:
                 spans = sorted((x["start"], x["rank"], x["end"], x["kind"]) for x in own + more)
                 texts.append(mask(text, united(spans)) if spans else text)
             field = batch.schema.field(at)
-            yield batch.set_column(at, field, pa.array(texts, field.type)).select(keep)
+            yield batch.set_column(at, field, pa.array(texts, field.type)).select(list(range(base)))
 
-    keep = docs.columns
-    return found.mapInArrow(change, docs.schema)
+    return docs.mapInArrow(change, docs.schema)
