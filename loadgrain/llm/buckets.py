@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from loadgrain.llm.common import gathered
 
 
-def split_hot(rows: DataFrame, keys: list[str], member: Column, most: int) -> DataFrame:
+def split_hot(rows: DataFrame, keys: list[str], member: Column, most: int, weight: Column | None = None) -> DataFrame:
     """Adds ``first``, ``second`` and ``chunk``, so that no bucket of ``keys`` and those has far more than ``2 * most`` rows.
 
+    With a ``weight`` its sum is meant instead of the number of rows.
+
     A larger bucket is cut into chunks by a hash of ``member``; every two of its chunks, and each with
     itself, become a bucket of their own, so every pair of rows still meets.
     """
-    hot = rows.groupBy(*keys).count().filter(F.col("count") > most)
+    hot = rows.groupBy(*keys).agg(F.sum(F.lit(1) if weight is None else weight).alias("count")).filter(F.col("count") > most)
     hot = hot.select(*keys, F.ceil(F.col("count") / most).cast("int").alias("chunks"))
     rows = rows.join(hot, keys, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64(member), F.col("chunks")).cast("int"))

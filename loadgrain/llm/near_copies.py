@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loadgrain.llm.buckets import split_hot, whole_buckets
 from loadgrain.llm.common import runs, steps, written
-from loadgrain.llm.components import components
+from loadgrain.llm.components import components, forest, roots
 from loadgrain.llm.repeats import Hashes, mix, one_key
 from loadgrain.llm.simhash import simhash_links
 from loadgrain.llm.suffixes import UNITS
@@ -31,11 +31,17 @@ MOST_COMMON = 200_000
 BUCKET_ROWS = 500_000
 PAIRS = 250_000
 SET_BYTES = 8_000_000
+# members of all sets of a group that one task compares; pairs and links held back to drop those that come again
+GROUP_MEMBERS = 4_000_000
+HELD = 500_000
 # bits of the sketch that bucket rows carry, and the least that a set has; in buckets of unlike sets they carry more
 SMALL_BITS = 256
 SMALL = [f"s{i}" for i in range(SMALL_BITS // 64)]
 WIDE_BITS = 1024
 WIDE = [f"w{i}" for i in range(WIDE_BITS // 64)]
+# numbers of 64 bits in the sketches by which groups are split, and the sets of a group that one task compares by them
+LONG = 128
+LONG_SETS = 16_000
 
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,6 +157,19 @@ def near_by_sketch(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarr
     return out
 
 
+def likely_near(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Of the pairs that ``near_by_sketch`` allows, those that unlike sets hardly ever are, however large.
+
+    Parities of large unlike sets differ in half of the bits, give or take a few, and that many may be allowed.
+    """
+    out = near_by_sketch(sketch, n, a, b, least)
+    which = np.flatnonzero(out)
+    bits = 64 * sketch.shape[1]
+    apart = np.bitwise_count((sketch[a[which]] ^ sketch[b[which]]).view(np.uint64)).sum(axis=1)
+    out[which] = apart <= bits / 2 - 2 * np.sqrt(bits)
+    return out
+
+
 def own_numbers(size: np.ndarray) -> np.ndarray:
     """Numbers of 64 bits in the sketches of sets."""
     bits = np.full(len(size), SMALL_BITS)
@@ -185,6 +204,137 @@ def unlike_pairs(rows: pa.Table, bounds: np.ndarray, least: float) -> Iterator[t
         at = stop
 
 
+class Held:
+    """Pairs of digests, held back until there are ``HELD`` of them."""
+
+    def __init__(self):
+        self.a = self.b = np.zeros(0, np.int64)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Keeps one of equal pairs."""
+        batch = _pairs(np.concatenate([self.a, a]), np.concatenate([self.b, b]))
+        self.a, self.b = (batch.column(i).to_numpy() for i in (0, 1))
+        if len(self.a) > HELD:
+            yield self.rest()
+
+    def connect(self, a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Keeps what connects the same digests: a link from each to the smallest it is connected with."""
+        nodes, at = np.unique(np.concatenate([self.a, a, self.b, b]), return_inverse=True)
+        root = roots(len(nodes), *np.split(at, 2))
+        up = np.flatnonzero(root != np.arange(len(nodes)))
+        self.a, self.b = nodes[root[up]], nodes[up]
+        if len(self.a) > HELD:
+            yield self.rest()
+
+    def rest(self) -> pa.RecordBatch:
+        batch = _pairs(self.a, self.b)
+        self.a = self.b = np.zeros(0, np.int64)
+        return batch
+
+
+def long_sketches(sketch: list[bytes], n: np.ndarray) -> np.ndarray:
+    """Sketches of one length, of ``LONG`` numbers at most."""
+    width = min(LONG, int(own_numbers(n).max(initial=1)))
+    return np.stack([folded(x, width) for x in sketch])
+
+
+def sketch_links(sketch: np.ndarray, n: np.ndarray, root: np.ndarray, part: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links between rows, sorted by ``n``, that connect all pairs of unlike roots whose sizes and sketches allow ``least``.
+
+    If there are two parts, only pairs of both are compared, and those connected by then are not compared again.
+    """
+    numbers = np.minimum(own_numbers(n), sketch.shape[1])
+    folds = {short: np.bitwise_xor.reduce(sketch.reshape(len(n), -1, short), axis=1) for short in np.unique(numbers)}
+    two = len(np.unique(part)) > 1
+    group = np.arange(len(n))
+    partners = np.searchsorted(n, np.floor(n / least + 1e-9), side="right") - group - 1
+    total = np.cumsum(partners)
+    left, right = [group[:0]], [group[:0]]
+    at = 0
+    while at < len(n):
+        stop = max(int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")), at + 1)
+        a = np.repeat(np.arange(at, stop), partners[at:stop])
+        b = a + 1 + runs(partners[at:stop])
+        use = (root[a] != root[b]) & (group[a] != group[b])
+        if two:
+            use &= part[a] != part[b]
+        a, b = a[use], b[use]
+        for short, fold in folds.items():  # the first of a pair is the smaller, so its sketch is the shorter
+            of = np.flatnonzero(numbers[a] == short)
+            for begin in range(0, len(of), SET_BYTES // (8 * int(short))):
+                x, y = (side[of[begin : begin + SET_BYTES // (8 * int(short))]] for side in (a, b))
+                apart = np.bitwise_count((fold[x] ^ fold[y]).view(np.uint64)).sum(axis=1)
+                near = apart <= most_apart(n[x], n[y], least)
+                x, y = x[near], y[near]
+                kept = forest(len(n), group[x], group[y])
+                left.append(x[kept])
+                right.append(y[kept])
+                group = roots(len(n), group[x], group[y])[group]
+        at = stop
+    return np.concatenate(left), np.concatenate(right)
+
+
+def near_links(
+    sets: list[np.ndarray], root: np.ndarray, part: np.ndarray, least: float, common: tuple[np.ndarray, np.ndarray]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what is near among sorted ``sets``: all pairs of unlike roots that share a rare shingle are compared.
+
+    If there are two parts, only pairs of both are. Pairs come in steps of about ``PAIRS``, all of a set in one step; what
+    is connected by then is not compared again.
+    """
+    n = np.array([len(x) for x in sets], np.int64)
+    first = np.concatenate([[0], np.cumsum(n)])
+    flat = np.concatenate(sets)
+    full = sketches(flat, first)
+    wide = np.array([folded(x, len(WIDE)) for x in full], np.int64).reshape(-1, len(WIDE))
+    owner, rare = prefixes(flat, first, least, common)
+    order = np.lexsort((owner, rare))
+    members, keys = owner[order], rare[order]
+    # the members of the bucket after each own row, by the row's place
+    ends = np.searchsorted(keys, keys, side="right")
+    by_owner = np.argsort(members, kind="stable")
+    places, count = by_owner, (ends - np.arange(len(keys)) - 1)[by_owner]
+    stops = np.searchsorted(members[by_owner], np.arange(len(sets)), side="right")
+    total = np.concatenate([[0], np.cumsum(count)])[stops]
+    two = len(np.unique(part)) > 1
+    root = np.unique(root, return_inverse=True)[1]
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    at = 0
+    while at < len(sets):
+        stop = max(int(np.searchsorted(total, (total[at - 1] if at else 0) + PAIRS, side="right")), at + 1)
+        rows = slice(stops[at - 1] if at else 0, stops[stop - 1])
+        a = np.repeat(members[places[rows]], count[rows])
+        b = members[np.repeat(places[rows] + 1, count[rows]) + runs(count[rows])]
+        use = root[a] != root[b]
+        if two:
+            use &= part[a] != part[b]
+        pairs = np.unique(a[use] * len(sets) + b[use])
+        a, b = pairs // len(sets), pairs % len(sets)
+        near = near_by_sketch(wide, n, a, b, least)
+        a, b = a[near], b[near]
+        near = may_be_near([full[i] for i in a], [full[i] for i in b], n[a], n[b], least)
+        a, b = a[near], b[near]
+        begin = 0
+        size = np.cumsum(n[a] + n[b])
+        while begin < len(a):
+            done = size[begin - 1] if begin else 0
+            end = max(int(np.searchsorted(size, done + SET_BYTES // 8, side="right")), begin + 1)
+            x, y = a[begin:end], b[begin:end]
+            begin = end
+            open_ = root[x] != root[y]
+            x, y = x[open_], y[open_]
+            if len(x):
+                both = shared_members([sets[i] for i in x], [sets[i] for i in y])
+                found = both >= least * (n[x] + n[y] - both) - 1e-9
+                x, y = x[found], y[found]
+                kept = forest(len(sets), root[x], root[y])
+                left.append(x[kept])
+                right.append(y[kept])
+                root = roots(len(sets), root[x], root[y])[root]
+        at = stop
+    return np.concatenate(left), np.concatenate(right)
+
+
 def shared_members(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
     """How many members each two sets share."""
     owner = np.concatenate([np.repeat(np.arange(len(x)), [len(s) for s in side]) for side in (x, y)])
@@ -236,13 +386,15 @@ def copy_links(
     is not compared again. For the rest, texts that share one of their rare shingles meet. First each is compared with
     the smallest, the largest and the next one there, so that a group of copies becomes one in a few comparisons
     for each; then every pair that is not connected by then is compared. Where they meet, rows carry a small sketch of their sets, and only pairs are written whose
-    sizes and sketches allow the similarity; full sketches then leave few but the pairs that have it, for which the sets are sent.
+    sizes and sketches make the similarity likely; full sketches then leave few but the pairs that have it, for which the sets are sent.
+    Of the rest no pairs are written: sets of which sizes and wider sketches allow the similarity are connected to groups, which
+    long sketches split; a set is sent once to its group, and there all pairs that share a rare shingle are compared.
     ``classes`` has a row for each set: its digest, a key of ``docs``, size, fingerprint and sketches.
     """
     spark = docs.sparkSession
     n = classes.count()
     shared = spark.sparkContext.broadcast(_common(docs, n, words))
-    keys = ["shingle"]
+    keys, chunks = ["shingle"], ["group", "first", "second"]
 
     def prefix(batches):
         for batch in steps(batches):
@@ -257,6 +409,7 @@ def copy_links(
             yield from rows.filter(pa.array(np.repeat(size > 1, size))).to_batches()
 
     def some_pairs(batches):
+        held = Held()
         for rows, bounds in whole_buckets(batches, keys):
             digest, n, root = (rows.column(c).to_numpy() for c in ("digest", "n", "root"))
             small = np.stack([rows.column(c).to_numpy() for c in SMALL], axis=1)
@@ -266,11 +419,12 @@ def copy_links(
             for one, other in ((np.repeat(bounds[:-1], size), row), (row, np.minimum(row + 1, last)), (row, last)):
                 a, b = one[row], other[row]
                 known = (root[a] == root[b]) & (a != b)
-                near = near_by_sketch(small, n, a, b, least) & (a != b) & ~known
-                yield _pairs(digest[a[near]], digest[b[near]])
+                near = likely_near(small, n, a, b, least) & (a != b) & ~known
+                yield from held.add(digest[a[near]], digest[b[near]])
                 row = row[~near & ~known]
                 if not len(row):
                     break
+        yield held.rest()
 
     def mixed(batches):
         for rows, bounds in whole_buckets(batches, keys):
@@ -278,10 +432,30 @@ def copy_links(
             unlike = np.maximum.reduceat(root, bounds[:-1]) != np.minimum.reduceat(root, bounds[:-1])
             yield from rows.filter(pa.array(np.repeat(unlike, np.diff(bounds)))).to_batches()
 
-    def other_pairs(batches):
+    def may_connect(batches):
+        held = Held()
         for rows, bounds in whole_buckets(batches, keys):
             for a, b in unlike_pairs(rows, bounds, least):
-                yield _pairs(a, b)
+                yield from held.connect(a, b)
+        yield held.rest()
+
+    def split_group(batches):
+        for rows, bounds in whole_buckets(batches, chunks):
+            digest, n, root, chunk = (rows.column(c).to_numpy() for c in ("digest", "n", "root", "chunk"))
+            for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+                own = slice(begin, end)
+                sketch = long_sketches(rows.column("sketch").slice(begin, end - begin).to_pylist(), n[own])
+                a, b = sketch_links(sketch, n[own], root[own], chunk[own], least)
+                yield _pairs(digest[own][a], digest[own][b])
+
+    def compare_group(batches):
+        for rows, bounds in whole_buckets(batches, chunks):
+            digest, root, chunk = (rows.column(c).to_numpy() for c in ("digest", "root", "chunk"))
+            own = rows.column("own")
+            for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+                sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in own.slice(begin, end - begin)]
+                a, b = near_links(sets, root[begin:end], chunk[begin:end], least, shared.value)
+                yield _pairs(digest[begin:end][a], digest[begin:end][b])
 
     def screen(batches):
         for batch in batches:
@@ -309,6 +483,10 @@ def copy_links(
                 yield batch.select(["a", "b"]).filter(pa.array(use, pa.bool_()))
                 begin = end
 
+    def sets_of(wanted: DataFrame, name: str) -> DataFrame:
+        texts = docs.select("key", "text").join(classes.select("digest", "key").join(wanted, "digest"), "key")
+        return written(texts.select("digest", "text").mapInArrow(sets, "digest long, own binary"), f"near-sets-{name}")
+
     def alike(pairs: DataFrame, name: str) -> DataFrame:
         pairs = pairs.distinct()
         for side in ("b", "a"):
@@ -317,20 +495,22 @@ def copy_links(
             )
             pairs = pairs.join(own, side)
         pairs = written(pairs.mapInArrow(screen, "a long, b long"), f"near-pairs-{name}")
-        wanted = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-        texts = docs.select("key", "text").join(classes.select("digest", "key").join(wanted, "digest"), "key")
-        own = written(texts.select("digest", "text").mapInArrow(sets, "digest long, own binary"), f"near-sets-{name}")
+        own = sets_of(pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct(), name)
         for side in ("b", "a"):
             pairs = pairs.join(own.select(F.col("digest").alias(side), F.col("own").alias(f"own_{side}")), side)
         both = pairs.select("a", "b", "own_a", "own_b")
         return written(both.mapInArrow(compare, "a long, b long"), f"near-links-{name}")
 
-    def rooted(rows: DataFrame, links: DataFrame, name: str) -> DataFrame:
-        found = components(links, name).withColumnRenamed("node", "digest")
+    def rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
+        found = found.withColumnRenamed("node", "digest")
         return rows.join(found, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
 
+    def grouped(links: DataFrame, found: DataFrame, name: str) -> DataFrame:
+        groups = components(links, f"{name}-links").select(F.col("node").alias("digest"), F.col("root").alias("group"))
+        return written(rooted(groups.join(classes.select("digest", "n"), "digest"), found), name)
+
     anchored = alike(anchored_pairs(classes, most, bucket_rows), "anchored")
-    some = rooted(classes.select("digest", *SMALL), anchored, "near-roots-anchored")
+    some = rooted(classes.select("digest", *SMALL), components(anchored, "near-roots-anchored"))
     rows = docs.select("text").mapInArrow(prefix, "shingle long, digest long, n long").distinct()
     if n > bucket_rows:  # no bucket holds more than all sets
         rows = split_hot(written(rows, "near-rows"), keys, F.col("digest"), bucket_rows).drop("chunk")
@@ -340,10 +520,21 @@ def copy_links(
     met = written(met.join(some, "digest"), "near-rows-met")
     order = met.repartition(*keys).sortWithinPartitions(*keys, "n", "digest")
     links = anchored.union(alike(order.mapInArrow(some_pairs, "a long, b long"), "some"))
-    dealt = rooted(met.drop(*SMALL, "root"), links, "near-roots").repartition(*keys).sortWithinPartitions(*keys)
+    found = components(links, "near-roots")
+    dealt = rooted(met.drop(*SMALL, "root"), found).repartition(*keys).sortWithinPartitions(*keys)
     left = written(dealt.mapInArrow(mixed, dealt.schema), "near-rows-left")
     left = left.join(classes.select("digest", *WIDE), "digest").repartition(*keys).sortWithinPartitions(*keys, "n", "digest")
-    return links.union(alike(left.mapInArrow(other_pairs, "a long, b long"), "other"))
+    # sets that sketches leave open are connected to groups; all sketches of a group split it, and each set goes to its group once
+    joined = left.mapInArrow(may_connect, "a long, b long")
+    loose = grouped(joined, found, "near-groups-loose")
+    rows = split_hot(loose, ["group"], F.col("digest"), LONG_SETS)
+    rows = rows.join(classes.select("digest", F.col("sketch")), "digest")
+    rows = rows.repartition(*chunks).sortWithinPartitions(*chunks, "n", "digest")
+    groups = grouped(rows.mapInArrow(split_group, "a long, b long"), found, "near-groups")
+    own = sets_of(groups.select("digest"), "groups")
+    rows = split_hot(groups, ["group"], F.col("digest"), GROUP_MEMBERS, F.col("n")).drop("n").join(own, "digest")
+    rows = rows.repartition(*chunks).sortWithinPartitions(*chunks)
+    return links.union(written(rows.mapInArrow(compare_group, "a long, b long"), "near-links-groups"))
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, bucket_rows: int = BUCKET_ROWS) -> DataFrame:

@@ -180,3 +180,96 @@ def test_no_pair_of_a_length_is_left():
     assert not near_copies.near_by_sketch(sketch, n, np.array([0, 1]), np.array([1, 2]), 0.8).any()
     none = np.zeros(0, np.int64)
     assert len(near_copies.near_by_sketch(sketch, n, none, none, 0.8)) == 0
+
+
+def variants(n):
+    """Texts with a similarity just below 0.8, each with other words in 8 places of the same 608 words, and one near the first."""
+    rng = random.Random(3)
+    words, texts, places = [f"v{i}" for i in range(608)], [], []
+    while len(texts) < n:
+        own = {5 * k + 2 for k in rng.sample(range(120), 8)}
+        if all(len(own & other) < 3 for other in places):
+            places.append(own)
+            texts.append(" ".join(f"n{len(texts)}x{i}" if i in own else w for i, w in enumerate(words)))
+    return [(i, t) for i, t in enumerate([*texts, texts[0] + " end"])]
+
+
+def test_unlike_sets_are_not_written_as_pairs(docs, monkeypatch):
+    """What is written grows with the sets and not with the pairs that sketches leave open."""
+    rows = variants(100)
+    seen = {}
+
+    def counted(df, name):
+        out = near_written(df, name)
+        seen[name] = out.count()
+        return out
+
+    near_written = near_copies.written
+    monkeypatch.setattr(near_copies, "written", counted)
+    want, near, _ = first_of_each(rows)
+    assert len(near) and len(want) > 90
+    got = drop_near_copies(docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == want
+    assert max(n for name, n in seen.items() if "pairs" in name or "groups" in name) <= 2 * len(rows)
+
+
+@pytest.mark.parametrize("members, long_sets", [(4_000_000, 16_000), (900, 7)])
+def test_groups_in_parts(docs, monkeypatch, members, long_sets):
+    """Groups larger than a task are cut into parts, of which each two meet."""
+    monkeypatch.setattr(near_copies, "GROUP_MEMBERS", members)
+    monkeypatch.setattr(near_copies, "LONG_SETS", long_sets)
+    monkeypatch.setattr(near_copies, "PAIRS", 500)
+    # the ways before the groups find nothing
+    monkeypatch.setattr(near_copies, "likely_near", lambda sketch, n, a, b, least: np.zeros(len(a), bool))
+    rows = variants(90) + [(1_000 + i, t) for i, t in changed_copies(4, 80) if t]
+    got = drop_near_copies(docs(rows)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == first_of_each(rows)[0]
+
+
+@pytest.mark.parametrize("pairs", [250_000, 40])
+def test_links_of_a_group_connect_what_is_near(monkeypatch, pairs):
+    monkeypatch.setattr(near_copies, "PAIRS", pairs)
+    rng = np.random.default_rng(6)
+    sets = []
+    for size in (1, 3, 40, 700, 9_000):
+        sets += [np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64)) for _ in range(4)]
+    for _ in range(60):
+        own = sets[rng.integers(len(sets))]
+        gone = rng.integers(0, len(own) // 8 + 1)
+        sets.append(np.unique(np.concatenate([own[gone:], rng.integers(0, 1 << 63, gone).astype(np.uint64)])))
+    sets.sort(key=len)
+    n, first = np.array([len(x) for x in sets]), np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    near = []
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets[:i]):
+            both = len(np.intersect1d(x, y))
+            near += [(i, j)] * (10 * both >= 8 * (len(x) + len(y) - both))
+    root = np.arange(len(sets)) // 2 * 2
+    own = [(i, int(root[i])) for i in range(len(sets))]
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    one = np.zeros(len(sets), np.int64)
+    sketch = near_copies.long_sketches(near_copies.sketches(np.concatenate(sets), first), n)
+    for part in (one, np.arange(len(sets)) % 2):
+        asked = [(i, j) for i, j in near if part is one or part[i] != part[j]]
+        a, b = near_copies.near_links(sets, root, part, 0.8, none)
+        found = list(zip(a.tolist(), b.tolist(), strict=True))
+        assert len(found) > 5 and all((max(p), min(p)) in near for p in found)
+        whole = plain.roots(len(sets), [*own, *found])
+        assert all(whole[i] == whole[j] for i, j in asked)
+        a, b = near_copies.sketch_links(sketch, n, root, part, 0.8)
+        group = plain.roots(len(sets), list(zip(a.tolist(), b.tolist(), strict=True)))
+        assert all(group[i] == group[j] for i, j in asked if root[i] != root[j])
+        assert len(a) < len(sets)
+
+
+def test_likely_pairs_are_allowed_pairs():
+    """Large unlike sets, whose small sketches rule nothing out, are not taken for likely; copies with some changes are."""
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 1 << 63, 3_000).astype(np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.concatenate([x[30:], rng.integers(0, 1 << 63, 30).astype(np.uint64)])) for x in sets]
+    first = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    small = np.stack([near_copies.folded(x, len(near_copies.SMALL)) for x in near_copies.sketches(np.concatenate(sets), first)])
+    n, a, b = np.diff(first), np.repeat(np.arange(40), 40), np.tile(np.arange(40, 80), 40)
+    assert near_copies.near_by_sketch(small, n, a, b, 0.8).all()
+    likely = near_copies.likely_near(small, n, a, b, 0.8)
+    assert likely[a + 40 == b].all() and likely.sum() <= 42
